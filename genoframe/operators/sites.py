@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from genoframe.functions.common import lit_array
 
@@ -32,10 +34,18 @@ def genotype_counts(genotypes: DataFrame, n_samples: int, key: str = "v") -> Dat
                         - F.col("n_missing"))
 
 
-def fill_tags(genotypes: DataFrame, samples, key: str = "v") -> DataFrame:
-    """AG-7: NS, AN, AC, AF, MAF, AC_Hom, AC_Het and genotype counts per variant."""
+def fill_tags(genotypes: DataFrame, samples, key: str = "v", variants: DataFrame | None = None) -> DataFrame:
+    """AG-7: NS, AN, AC, AF, MAF, AC_Hom, AC_Het and genotype counts per variant.
+
+    With ``variants`` every site gets tags (sites without calls are all hom-ref).
+    """
     n = n_of(samples)
     c = genotype_counts(genotypes, n, key)
+    if variants is not None:
+        c = variants.select(key).join(c, key, "left").select(
+            key, *[F.coalesce(F.col(x), F.lit(0)).cast("bigint").alias(x)
+                   for x in ("n_het", "n_hom_alt", "n_missing")],
+            F.coalesce(F.col("n_hom_ref"), F.lit(n)).cast("bigint").alias("n_hom_ref"))
     ns = F.lit(n) - F.col("n_missing")
     ac = F.col("n_het") + 2 * F.col("n_hom_alt")
     an = 2 * ns
@@ -48,44 +58,42 @@ def fill_tags(genotypes: DataFrame, samples, key: str = "v") -> DataFrame:
 
 
 # ---------------------------------------------------------------- HWE exact test
-_LN2 = math.log(2.0)
-_HALF_LN_2PI = 0.5 * math.log(2 * math.pi)
-
-
-def _lgamma(z: Column) -> Column:
-    """log Gamma(z) for z >= 1: shift by 6, then Stirling's series (abs. error < 1e-13)."""
-    w = z + 6.0
-    shift = F.log(z) + F.log(z + 1) + F.log(z + 2) + F.log(z + 3) + F.log(z + 4) + F.log(z + 5)
-    w2 = w * w
-    series = 1 / (12 * w) - 1 / (360 * w * w2) + 1 / (1260 * w * w2 * w2) - 1 / (1680 * w * w2 * w2 * w2)
-    return (w - 0.5) * F.log(w) - w + _HALF_LN_2PI + series - shift
-
-
-def _lfact(k: Column) -> Column:
-    return _lgamma(k.cast("double") + 1.0)
-
-
-def hwe_exact_p(hom1, het, hom2) -> Column:
-    """Exact Hardy-Weinberg p-value from genotype counts (Wigginton-style).
-
-    Relative log-weights of every admissible het count are computed
-    independently (no sequential recurrence), then summed over outcomes no
-    more likely than the observed one.  Pure JVM expression, O(n) per site.
+def hwe_exact_p_np(hom1: int, het: int, hom2: int) -> float:
+    """Exact Hardy-Weinberg p-value (Wigginton et al. 2005) in log space."""
+    import numpy as np
+    n = hom1 + het + hom2
+    if n <= 0:
+        return float("nan")
+    nr = het + 2 * min(hom1, hom2)
+    xs = np.arange(nr % 2, nr + 1, 2, dtype=np.float64)
+    homr = (nr - xs[:-1]) / 2.0
+    homc = (2 * n - nr - xs[:-1]) / 2.0
+    steps = np.log(4.0 * homr * homc) - np.log((xs[:-1] + 2.0) * (xs[:-1] + 1.0))
+    lw = np.concatenate([[0.0], np.cumsum(steps)])
+    lw -= lw.max()
+    w = np.exp(lw)
+    obs = lw[int((het - nr % 2) // 2)]
+    return float(min(1.0, w[lw <= obs + 1e-9].sum() / w.sum()))
+
+
+@F.pandas_udf(T.DoubleType())
+def _hwe_p(a: pd.Series, h: pd.Series, b: pd.Series) -> pd.Series:
+    key = pd.DataFrame({"a": a.astype("int64"), "h": h.astype("int64"), "b": b.astype("int64")})
+    uniq = key.drop_duplicates()
+    uniq = uniq.assign(p=[hwe_exact_p_np(int(x), int(y), int(z))
+                          for x, y, z in zip(uniq["a"], uniq["h"], uniq["b"])])
+    return key.merge(uniq, on=["a", "h", "b"], how="left")["p"]
+
+
+def with_hwe_exact_p(df: DataFrame, hom1: str, het: str, hom2: str, out: str = "p_hwe") -> DataFrame:
+    """Exact HWE p per row from genotype counts.
+
+    The recurrence is sequential over het counts, which Spark's interpreted
+    higher-order functions run slowly, so it is an Arrow-batched pandas UDF;
+    count triples repeated inside a batch are solved once.  NaN (no calls) -> NULL.
     """
-    a, h, b = [F.col(x) if isinstance(x, str) else x for x in (hom1, het, hom2)]
-    n = a + h + b
-    nr = h + 2 * F.least(a, b)
-
-    def lw(x):
-        return (x * _LN2 - _lfact(x) - _lfact((nr - x) / 2) - _lfact((2 * n - nr - x) / 2))
-
-    xs = F.sequence((nr % 2).cast("bigint"), nr.cast("bigint"), F.lit(2).cast("bigint"))
-    lws = F.transform(xs, lambda x: lw(x))
-    mx = F.array_max(lws)
-    lobs = lw(h)
-    num = F.aggregate(lws, F.lit(0.0), lambda acc, w: acc + F.when(w <= lobs + 1e-9, F.exp(w - mx)).otherwise(0.0))
-    den = F.aggregate(lws, F.lit(0.0), lambda acc, w: acc + F.exp(w - mx))
-    return F.when(n > 0, F.least(F.lit(1.0), num / den))
+    p = _hwe_p(F.col(hom1), F.col(het), F.col(hom2))
+    return df.withColumn(out, F.when(~F.isnan(p), p))
 
 
 def hardy(genotypes: DataFrame, samples, key: str = "v") -> DataFrame:
@@ -94,11 +102,10 @@ def hardy(genotypes: DataFrame, samples, key: str = "v") -> DataFrame:
     c = genotype_counts(genotypes, n, key)
     called = F.col("n_hom_ref") + F.col("n_het") + F.col("n_hom_alt")
     alt_f = (F.col("n_het") + 2 * F.col("n_hom_alt")) / F.when(called > 0, 2 * called)
-    return c.select(
-        key, "n_hom_ref", "n_het", "n_hom_alt", "n_missing",
-        (F.col("n_het") / F.when(called > 0, called)).alias("o_het"),
-        (2 * alt_f * (1 - alt_f)).alias("e_het"),
-        hwe_exact_p(F.col("n_hom_ref"), F.col("n_het"), F.col("n_hom_alt")).alias("p_hwe"))
+    c = c.select(key, "n_hom_ref", "n_het", "n_hom_alt", "n_missing",
+                 (F.col("n_het") / F.when(called > 0, called)).alias("o_het"),
+                 (2 * alt_f * (1 - alt_f)).alias("e_het"))
+    return with_hwe_exact_p(c, "n_hom_ref", "n_het", "n_hom_alt")
 
 
 def ternary(hardy_df: DataFrame, key: str = "v") -> DataFrame:

@@ -1 +1,241 @@
-"""placeholder"""
+"""Registered analyses: joins (JN)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from genoframe import fixtures as fx
+from genoframe.functions import annotation as fa
+from genoframe.functions import ids as fi
+from genoframe.operators import annotate as oa
+from genoframe.operators import joins as oj
+from genoframe.operators.sites import merge_cohort
+from genoframe.plans.q_columns import SQL_NORMALIZE_IDS, r6, zscored_pcs, SQL_PCS, PSAM_SQL, psam
+from genoframe.plans.registry import register
+
+
+def _ids(spark, d):
+    r = fx.raw_ids(spark, d)
+    return r.select("c_custkey", F.when(F.col("c_custkey") % 7 == 0, F.lit(None))
+                    .otherwise(fi.normalize_sample_ids("raw_id")).alias("sid"))
+
+
+def _lookup(spark, d):
+    r = fx.raw_ids(spark, d)
+    return r.select(F.when(F.col("c_custkey") % 97 == 0, F.lit(None))
+                    .otherwise(fi.normalize_sample_ids("raw_id")).alias("sid"),
+                    (F.col("c_custkey") * 10).alias("nhc"))
+
+
+SQL_IDS = f"""
+, l AS (SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE {SQL_NORMALIZE_IDS.format(x='raw_id')} END AS sid
+        FROM raw_ids)
+, r AS (SELECT CASE WHEN c_custkey % 97 = 0 THEN NULL ELSE {SQL_NORMALIZE_IDS.format(x='raw_id')} END AS sid,
+               c_custkey * 10 AS nhc FROM raw_ids)"""
+
+
+@register("jn01_left_join", SQL_IDS + """
+SELECT l.c_custkey, l.sid, r.nhc FROM l LEFT JOIN r ON l.sid = r.sid""", ["raw_ids"])
+def jn01(spark, d):
+    return oj.left_join(_ids(spark, d), _lookup(spark, d), "sid").select("c_custkey", "sid", "nhc")
+
+
+@register("jn02_left_join_null_safe", SQL_IDS + """
+SELECT l.c_custkey, l.sid, r.nhc FROM l LEFT JOIN r ON l.sid IS NOT DISTINCT FROM r.sid""", ["raw_ids"])
+def jn02(spark, d):
+    return oj.left_join(_ids(spark, d), _lookup(spark, d), "sid", null_safe=True).select("c_custkey", "sid", "nhc")
+
+
+@register("jn03_inner_join", SQL_PCS + """
+SELECT p.sample_id, p.pheno, round(c."PC1", 6) AS "PC1" FROM pheno p JOIN pcs c ON p.sample_id = c.sample_id
+WHERE p.pheno IS NOT NULL""", ["pheno"])
+def jn03(spark, d):
+    p = fx.pheno(spark, d).where(F.col("pheno").isNotNull()).select("sample_id", "pheno")
+    return oj.inner_join(p, zscored_pcs(spark, d).select("sample_id", r6(F.col("PC1")).alias("PC1")), "sample_id")
+
+
+DISCARD = ["ELA959", "ELA1912", "ELA1923", "ELA1924", "EM959", "ELA1000"]
+
+
+@register("jn04_anti_join", SQL_IDS + """
+SELECT c_custkey, sid FROM l WHERE sid IS NULL OR sid NOT IN (""" + ", ".join(f"'{x}'" for x in DISCARD) + ")",
+          ["raw_ids"])
+def jn04(spark, d):
+    discard = spark.createDataFrame([(x,) for x in DISCARD], "sid string")
+    return oj.anti_join(_ids(spark, d), F.broadcast(discard), "sid")
+
+
+@register("jn05_exists_flag", """
+SELECT c_custkey, c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') AS has_urgent
+FROM customer""")
+def jn05(spark, d):
+    c = fx.table(spark, d, "customer").select("c_custkey")
+    o = fx.table(spark, d, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    return oj.exists_flag(c, o, "c_custkey", "has_urgent", b_key="o_custkey")
+
+
+@register("jn06_cross_scaffold", """
+SELECT pid, CAST(stage AS INTEGER) AS stage FROM patients, (VALUES (1), (2), (3), (4)) t(stage)""", ["patients"])
+def jn06(spark, d):
+    return oj.cross_scaffold(fx.patients(spark, d).select("pid"), "stage", [1, 2, 3, 4]) \
+        .withColumn("stage", F.col("stage").cast("int"))
+
+
+SQL_VID = "chrom || ':' || CAST(pos AS VARCHAR) || '_' || ref || '_' || alt"
+
+
+@register("jn07_variant_sets", f"""
+SELECT k.variant_id, a.unit
+FROM (SELECT {SQL_VID} AS variant_id, gene AS unit FROM variants WHERE v % 3 <> 0) a
+RIGHT JOIN (SELECT {SQL_VID} AS variant_id FROM variants WHERE filter = 'PASS') k ON a.variant_id = k.variant_id""",
+          ["variants"])
+def jn07(spark, d):
+    v = fx.variants(spark, d).withColumn("variant_id", fi.variant_id())
+    ann = v.where(F.col("v") % 3 != 0).select("variant_id", F.col("gene").alias("unit"))
+    kept = v.where(F.col("filter") == "PASS").select("variant_id")
+    return oj.variant_sets(ann, kept)
+
+
+def _resolve_tables(spark, d):
+    r = fx.raw_ids(spark, d).select("c_custkey", fi.normalize_sample_ids("raw_id").alias("sid"))
+    c = F.col("c_custkey")
+    t1 = r.where(c % 3 != 0).select(F.col("sid").alias("ccn"), F.when(c % 4 != 0, c * 10).alias("nhc"),
+                                    F.when(c % 5 == 0, "CONTROL").otherwise("ELA").alias("grupo"), c.alias("_row"))
+    dup = r.where((c % 3 != 0) & (c % 10 == 0)).select(
+        F.col("sid").alias("ccn"), F.lit(None).cast("bigint").alias("nhc"), F.lit(None).cast("string").alias("grupo"),
+        (c + 1_000_000).alias("_row"))
+    t1 = t1.unionByName(dup)
+    t2 = r.where(c % 2 == 0).select(F.col("sid").alias("cdr"), (c * 10 + 1).alias("nhc"),
+                                    F.when(c % 6 != 0, "ELA").alias("grupo"), c.alias("_row"))
+    t3 = r.select(F.col("sid").alias("ccn"), (c * 10 + 2).alias("nhc"),
+                  F.when(c % 7 == 0, "CONTROL").alias("grupo"), c.alias("_row"))
+    return r, t1, t2, t3
+
+
+@register("jn08_resolve", f"""
+, r AS (SELECT c_custkey, {SQL_NORMALIZE_IDS.format(x='raw_id')} AS sid FROM raw_ids)
+, t1 AS (SELECT sid AS ccn, CASE WHEN c_custkey % 4 <> 0 THEN c_custkey * 10 END AS nhc,
+                CASE WHEN c_custkey % 5 = 0 THEN 'CONTROL' ELSE 'ELA' END AS grupo FROM r WHERE c_custkey % 3 <> 0)
+, t2 AS (SELECT sid AS cdr, c_custkey * 10 + 1 AS nhc, CASE WHEN c_custkey % 6 <> 0 THEN 'ELA' END AS grupo
+         FROM r WHERE c_custkey % 2 = 0)
+, t3 AS (SELECT sid AS ccn, c_custkey * 10 + 2 AS nhc, CASE WHEN c_custkey % 7 = 0 THEN 'CONTROL' END AS grupo FROM r)
+SELECT r.c_custkey, r.sid, coalesce(t1.nhc, t2.nhc, t3.nhc) AS nhc, coalesce(t1.grupo, t2.grupo, t3.grupo) AS grupo
+FROM r LEFT JOIN t1 ON r.sid = t1.ccn LEFT JOIN t2 ON r.sid = t2.cdr LEFT JOIN t3 ON r.sid = t3.ccn
+WHERE starts_with(r.sid, 'ELA')""", ["raw_ids"])
+def jn08(spark, d):
+    r, t1, t2, t3 = _resolve_tables(spark, d)
+    left = r.where(F.col("sid").startswith("ELA"))
+    lk = [(oj.dedupe_lookup(t1, "ccn", ["nhc", "grupo"]), "ccn", {"nhc": "nhc_1", "grupo": "grupo_1"}),
+          (oj.dedupe_lookup(t2, "cdr", ["nhc", "grupo"]), "cdr", {"nhc": "nhc_2", "grupo": "grupo_2"}),
+          (oj.dedupe_lookup(t3, "ccn", ["nhc", "grupo"]), "ccn", {"nhc": "nhc_3", "grupo": "grupo_3"})]
+    return oj.resolve(left, "sid", lk, {"nhc": ["nhc_1", "nhc_2", "nhc_3"],
+                                        "grupo": ["grupo_1", "grupo_2", "grupo_3"]})
+
+
+@register("jn09_merge_cohort", f"""
+, per_sample AS (SELECT g.s, vv.chrom, vv.pos, vv.ref, vv.alt, g.dosage FROM genotypes g JOIN variants vv ON g.v = vv.v)
+SELECT {SQL_VID} AS variant_id, CAST(count(*) FILTER (WHERE dosage > 0) AS BIGINT) AS n_carriers,
+       CAST(count(*) FILTER (WHERE dosage IS NULL) AS BIGINT) AS n_missing
+FROM per_sample GROUP BY 1""", ["genotypes", "variants"])
+def jn09(spark, d):
+    calls = (fx.genotypes(spark, d).join(fx.variants(spark, d).select("v", "chrom", "pos", "ref", "alt"), "v")
+             .withColumn("sample_id", F.format_string("S%03d", "s")))
+    loci, g = merge_cohort(calls)
+    agg = g.groupBy("variant_id").agg(
+        F.count(F.when(F.col("dosage") > 0, 1)).cast("bigint").alias("n_carriers"),
+        F.count(F.when(F.col("dosage").isNull(), 1)).cast("bigint").alias("n_missing"))
+    return loci.select("variant_id").join(agg, "variant_id", "left").select(
+        "variant_id", F.coalesce("n_carriers", F.lit(0)).cast("bigint").alias("n_carriers"),
+        F.coalesce("n_missing", F.lit(0)).cast("bigint").alias("n_missing"))
+
+
+def annotated_sites(spark, d):
+    """JN-10: frequency annotation (AF per population, max AF) then ClinVar/dbSNP with post-ops."""
+    v = fx.variants(spark, d)
+    a = oa.annotate_exact(v, fx.sites(spark, d), oa.gnomad_spec())
+    clin = oa.AnnotationSpec(["ID", "CLNSIG", "CLNDN", "RS"],
+                             ["clinvar_id", "clinvar_sig", "clinvar_disease_name", "dbsnp_id"],
+                             post=[("common_pathogenic", lambda s, m: fa.common_pathogenic(s, m, 0.005),
+                                    ["clinvar_sig", "max_aaf_all"]),
+                                   ("ID", fa.merge_ids, ["gno_id", "dbsnp_id"])])
+    return oa.annotate_exact(a, fx.clinvar(spark, d), clin)
+
+
+_AF = lambda p: (f"CASE WHEN s.\"AC_{p}\" = 0 THEN 0.0 ELSE round(s.\"AC_{p}\" / "
+                 f"nullif(CAST(s.\"AN_{p}\" AS DOUBLE), 0), 9) END")
+
+
+@register("jn10_annotate_exact", """
+SELECT vv.v, CASE WHEN s."AC" = 0 THEN 0.0 ELSE round(s."AC" / nullif(CAST(s."AN" AS DOUBLE), 0), 9) END AS gno_af_all,
+  greatest(""" + ", ".join(_AF(p) for p in fx.POPULATIONS) + """) AS max_aaf_all,
+  c."CLNSIG" AS clinvar_sig,
+  coalesce(contains(c."CLNSIG", 'pathogenic') AND greatest(""" + ", ".join(_AF(p) for p in fx.POPULATIONS) + """) > 0.005, false)
+    AS common_pathogenic,
+  CASE WHEN s."ID" IS NOT NULL AND c."RS" IS NOT NULL AND c."RS" <> '.' AND s."ID" <> c."RS"
+       THEN replace(s."ID", ',', ';') || ';' || c."RS"
+       WHEN s."ID" IS NOT NULL THEN replace(s."ID", ',', ';')
+       WHEN c."RS" IS NOT NULL AND c."RS" <> '.' THEN c."RS" ELSE '' END AS "ID"
+FROM variants vv LEFT JOIN sites s USING (chrom, pos, ref, alt) LEFT JOIN clinvar c USING (chrom, pos, ref, alt)""",
+          ["variants", "sites", "clinvar"])
+def jn10(spark, d):
+    return annotated_sites(spark, d).select("v", "gno_af_all", "max_aaf_all", "clinvar_sig",
+                                            "common_pathogenic", "ID")
+
+
+@register("jn11_annotate_overlap", """
+SELECT vv.v, CAST(count(i.sv_key) AS BIGINT) AS n_sv,
+       CASE WHEN count(i.sv_key) > 0 THEN string_agg(CAST(i.sv_key AS VARCHAR), ',' ORDER BY CAST(i.sv_key AS VARCHAR)) END AS sv_keys,
+       max(i.sv_score) AS max_sv_score
+FROM variants vv LEFT JOIN intervals i ON vv.chrom = i.chrom AND vv.pos BETWEEN i.start AND i."end"
+GROUP BY vv.v""", ["variants", "intervals"])
+def jn11(spark, d):
+    v = fx.variants(spark, d).select("v", "chrom", "pos")
+    out = oa.annotate_overlap(v, fx.intervals(spark, d), {
+        "n_sv": ("sv_key", "count"), "sv_keys": ("sv_key", "concat"), "max_sv_score": ("sv_score", "max")},
+        bin_width=50_000)
+    return out.select("v", F.coalesce("n_sv", F.lit(0)).cast("bigint").alias("n_sv"),
+                      F.when(F.col("sv_keys") != "", F.col("sv_keys")).alias("sv_keys"), "max_sv_score")
+
+
+@register("jn12_annotate_scores", """
+SELECT vv.v, s."SIFT4G_pred", s."Polyphen2_HVAR_pred", s."CADD_phred", s."GO"
+FROM variants vv LEFT JOIN scores s USING (chrom, pos, ref, alt)""", ["variants", "scores"])
+def jn12(spark, d):
+    return oa.annotate_scores(fx.variants(spark, d), fx.scores(spark, d),
+                              ["SIFT4G_pred", "Polyphen2_HVAR_pred", "CADD_phred", "GO"]) \
+        .select("v", "SIFT4G_pred", "Polyphen2_HVAR_pred", "CADD_phred", "GO")
+
+
+@register("jn14_variants_to_sets", f"""
+SELECT a.unit, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT {SQL_VID} AS variant_id FROM variants WHERE filter = 'PASS') k
+LEFT JOIN (SELECT {SQL_VID} AS variant_id, gene AS unit FROM variants WHERE v % 3 <> 0) a ON a.variant_id = k.variant_id
+GROUP BY a.unit""", ["variants"])
+def jn14(spark, d):
+    v = fx.variants(spark, d).withColumn("variant_id", fi.variant_id())
+    sets = v.where(F.col("v") % 3 != 0).select("variant_id", F.col("gene").alias("unit"))
+    kept = v.where(F.col("filter") == "PASS").select("variant_id")
+    return kept.join(sets, "variant_id", "left").groupBy("unit").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@register("jn15_model_frame", SQL_PCS + """
+, ps AS (""" + PSAM_SQL.strip() + """)
+SELECT ps.sample_id, ps."ALS", round(pcs."PC1", 6) AS "PC1", round(pcs."PC6", 6) AS "PC6"
+FROM ps LEFT JOIN pcs ON ps.sample_id = pcs.sample_id""", ["pheno"])
+def jn15(spark, d):
+    mf = oj.model_frame(psam(spark, d).select("sample_id", "ALS"), zscored_pcs(spark, d))
+    return mf.select("sample_id", "ALS", r6(F.col("PC1")).alias("PC1"), r6(F.col("PC6")).alias("PC6"))
+
+
+@register("jn16_peg_gating", """
+, peg AS (SELECT pid, min(day) AS fecha_indicacion_peg FROM visits WHERE peg GROUP BY pid)
+SELECT v.pid, p.fecha_indicacion_peg,
+       CAST(count(*) FILTER (WHERE v.day >= p.fecha_indicacion_peg) AS BIGINT) AS n_after
+FROM visits v JOIN peg p ON v.pid = p.pid GROUP BY v.pid, p.fecha_indicacion_peg""", ["visits"])
+def jn16(spark, d):
+    from genoframe.operators.longitudinal import first_event_date
+    v = fx.visits(spark, d)
+    peg = first_event_date(v, "peg", "day", out="fecha_indicacion_peg")
+    j = v.join(peg, "pid")
+    return j.groupBy("pid", "fecha_indicacion_peg").agg(
+        F.count(F.when(F.col("day") >= F.col("fecha_indicacion_peg"), 1)).cast("bigint").alias("n_after"))
