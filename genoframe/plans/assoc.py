@@ -11,8 +11,6 @@ from pyspark.sql import Window
 
 def standardize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """ST-3: (x - mean) / sample sd over the whole table (one global aggregate)."""
-    stats = df.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
-                   *[F.stddev_samp(c).alias(f"_s_{c}") for c in cols])
-    j = df.join(F.broadcast(stats), how="inner") if False else df.crossJoin(F.broadcast(stats))
-    return j.withColumns({c: (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}") for c in cols}) \
-        .drop(*[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])
+    row = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
+                 *[F.stddev_samp(c).alias(f"s_{c}") for c in cols]).first()    # 2 x len(cols) numbers
+    return df.withColumns({c: (F.col(c) - F.lit(row[f"m_{c}"])) / F.lit(row[f"s_{c}"]) for c in cols})
