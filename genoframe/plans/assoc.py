@@ -1,16 +1,235 @@
-"""Association analyses: covariate scaling, linear/logistic per-variant models, null models."""
+"""Association analyses on sparse genotypes.
+
+* ST-3 ``standardize``: covariate z-scores (one global aggregate, literals).
+* ST-6 ``null_model``: phenotype ~ covariates per phenotype (grouped pandas fit,
+  one group = one phenotype's samples, bounded by the cohort size).
+* ST-4 ``glm_linear``: per-variant OLS from *sufficient statistics*.  Hom-ref
+  samples never materialise: C'C, C'y, y'y are per-phenotype totals minus the
+  variant's missing-call rows; g'C, g'g, g'y are sums over carrier rows.  One
+  ``groupBy(pheno, v)`` aggregation, then a batched 8x8 solve per row.
+* ST-5 ``glm_logistic``: per-variant logistic regression with Firth fallback.
+  IRLS needs every sample, so each task holds the (bounded) sample design
+  matrix and densifies one variant at a time from its carrier rows.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+
+from genoframe.operators.joins import broadcast_if_small
+from genoframe.plans import numerics as nm
 
 
 def standardize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """ST-3: (x - mean) / sample sd over the whole table (one global aggregate)."""
+    """ST-3: (x - mean) / sample sd over the whole table."""
     row = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
                  *[F.stddev_samp(c).alias(f"s_{c}") for c in cols]).first()    # 2 x len(cols) numbers
     return df.withColumns({c: (F.col(c) - F.lit(row[f"m_{c}"])) / F.lit(row[f"s_{c}"]) for c in cols})
+
+
+def model_frame_long(pheno_long: DataFrame, covars: DataFrame, cov_names: Sequence[str],
+                     key: str = "sample_id") -> DataFrame:
+    """(pheno, sample_id, y, covariates...) rows with every model input non-null."""
+    mf = pheno_long.select("pheno", key, F.col("value").cast("double").alias("y")).join(
+        covars.select(key, *cov_names), key)
+    return mf.dropna(subset=["y", *cov_names])
+
+
+def valid_phenotypes(mf: DataFrame) -> DataFrame:
+    """FLT-25: phenotypes with at least two distinct values (others are skipped)."""
+    return mf.groupBy("pheno").agg(F.countDistinct("y").alias("_k")).where(F.col("_k") >= 2).select("pheno")
+
+
+def binary_kind(mf: DataFrame) -> DataFrame:
+    """Kind per phenotype from the data: exactly the values {0, 1} -> binary."""
+    k = mf.groupBy("pheno").agg(F.countDistinct("y").alias("_k"), F.min("y").alias("_lo"), F.max("y").alias("_hi"))
+    return k.select("pheno", F.when((F.col("_k") == 2) & (F.col("_lo") == 0) & (F.col("_hi") == 1), "binary")
+                    .otherwise("continuous").alias("kind"))
+
+
+# ------------------------------------------------------------------ ST-6 null model
+def null_model(mf: DataFrame, cov_names: Sequence[str], key: str = "sample_id") -> DataFrame:
+    """ST-6: fit y ~ 1 + covariates per phenotype.
+
+    Returns (pheno, sample_id, kind, mu, resid, var_w): for a continuous trait the
+    residual is scaled by 1/sigma and var_w = 1; for a binary trait resid = y - mu
+    and var_w = mu(1 - mu).  Score statistics G'resid then have covariance G'PG
+    with P built from v, with no further division by sigma^2.
+    """
+    cov = list(cov_names)
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        y = pdf["y"].to_numpy(float)
+        X = np.column_stack([np.ones(len(pdf)), pdf[cov].to_numpy(float)]) if cov else np.ones((len(pdf), 1))
+        binary = set(np.unique(y)) <= {0.0, 1.0} and len(np.unique(y)) == 2
+        if binary:
+            beta, _, ok = nm.logistic_irls(X, y)
+            if not ok:
+                beta, _, _ = nm.logistic_firth(X, y)
+            mu = 1 / (1 + np.exp(-np.clip(X @ beta, -30, 30)))
+            resid, v = y - mu, mu * (1 - mu)
+        else:
+            beta, r, s2 = nm.linear_fit(X, y)
+            mu = X @ beta
+            resid, v = r / np.sqrt(s2), np.ones_like(y)
+        return pd.DataFrame({"pheno": pdf["pheno"].to_numpy(), key: pdf[key].to_numpy(),
+                             "kind": "binary" if binary else "continuous",
+                             "mu": mu, "resid": resid, "var_w": v})
+
+    schema = f"pheno string, {key} string, kind string, mu double, resid double, var_w double"
+    ok = mf.join(valid_phenotypes(mf), "pheno", "left_semi")
+    return ok.groupBy("pheno").applyInPandas(fit, schema)
+
+
+# ------------------------------------------------------------------ ST-4 linear, sufficient statistics
+def _pairs(k: int):
+    return [(a, b) for a in range(k) for b in range(a, k)]
+
+
+def linear_sufficient_stats(genotypes: DataFrame, mf: DataFrame, cov_names: Sequence[str],
+                            key: str = "sample_id", vkey: str = "v") -> tuple[DataFrame, DataFrame]:
+    """Per-phenotype totals and per-(pheno, variant) carrier / missing-row sums."""
+    cov = list(cov_names)
+    cols = ["_one"] + cov                      # design columns except the genotype
+    mfx = mf.withColumn("_one", F.lit(1.0))
+    k = len(cols)
+    tot = mfx.groupBy("pheno").agg(
+        *[F.sum(F.col(cols[a]) * F.col(cols[b])).alias(f"T_{a}_{b}") for a, b in _pairs(k)],
+        *[F.sum(F.col(c) * F.col("y")).alias(f"Ty_{i}") for i, c in enumerate(cols)],
+        F.sum(F.col("y") * F.col("y")).alias("Tyy"))
+    side = broadcast_if_small(mfx.select("pheno", key, "y", *cols))
+    j = genotypes.select(vkey, key, "dosage").join(side, key)
+    g = F.col("dosage").cast("double")
+    miss = F.col("dosage").isNull()
+
+    def m(c):
+        return F.sum(F.when(miss, c).otherwise(F.lit(0.0)))
+
+    per = j.groupBy("pheno", vkey).agg(
+        F.sum(g).alias("Sg"), F.sum(g * g).alias("Sgg"), F.sum(g * F.col("y")).alias("Sgy"),
+        *[F.sum(g * F.col(c)).alias(f"Sgc_{i}") for i, c in enumerate(cols)],
+        *[m(F.col(cols[a]) * F.col(cols[b])).alias(f"M_{a}_{b}") for a, b in _pairs(k)],
+        *[m(F.col(c) * F.col("y")).alias(f"My_{i}") for i, c in enumerate(cols)],
+        m(F.col("y") * F.col("y")).alias("Myy"))
+    return tot, per
+
+
+def glm_linear(genotypes: DataFrame, mf: DataFrame, cov_names: Sequence[str],
+               key: str = "sample_id", vkey: str = "v") -> DataFrame:
+    """ST-4: y ~ 1 + g + covariates per (phenotype, variant); the genotype (ALT dosage) row only.
+
+    Samples with a missing call for the variant are left out of that variant's fit.
+    Output: pheno, v, n, beta, se, t_stat, p.
+    """
+    cov = list(cov_names)
+    k = len(cov) + 1
+    tot, per = linear_sufficient_stats(genotypes, mf, cov, key, vkey)
+    rows = per.join(F.broadcast(tot), "pheno")
+    pairs = _pairs(k)
+
+    def solve(it):
+        for pdf in it:
+            b = len(pdf)
+            if b == 0:
+                continue
+            A = np.zeros((b, k + 1, k + 1))
+            for a, c in pairs:
+                val = pdf[f"T_{a}_{c}"].to_numpy(float) - pdf[f"M_{a}_{c}"].to_numpy(float)
+                A[:, a, c] = A[:, c, a] = val
+            for i in range(k):
+                A[:, i, k] = A[:, k, i] = pdf[f"Sgc_{i}"].to_numpy(float)
+            A[:, k, k] = pdf["Sgg"].to_numpy(float)
+            rhs = np.zeros((b, k + 1))
+            for i in range(k):
+                rhs[:, i] = pdf[f"Ty_{i}"].to_numpy(float) - pdf[f"My_{i}"].to_numpy(float)
+            rhs[:, k] = pdf["Sgy"].to_numpy(float)
+            yy = pdf["Tyy"].to_numpy(float) - pdf["Myy"].to_numpy(float)
+            n = A[:, 0, 0]
+            beta = np.full(b, np.nan)
+            se = np.full(b, np.nan)
+            for r in range(b):
+                try:
+                    inv = np.linalg.inv(A[r])
+                except np.linalg.LinAlgError:
+                    continue
+                coef = inv @ rhs[r]
+                rss = yy[r] - coef @ rhs[r]
+                df = n[r] - (k + 1)
+                if df <= 0 or not np.isfinite(inv[k, k]) or inv[k, k] <= 0:
+                    continue
+                beta[r] = coef[k]
+                se[r] = np.sqrt(max(rss, 0.0) / df * inv[k, k])
+            t = beta / se
+            p = np.array([nm.t_two_sided_p(tt, nn - (k + 1)) if np.isfinite(tt) else np.nan
+                          for tt, nn in zip(t, n)])
+            yield pd.DataFrame({"pheno": pdf["pheno"], vkey: pdf[vkey], "n": n.astype("int64"),
+                                "beta": beta, "se": se, "t_stat": t, "p": p})
+
+    schema = f"pheno string, {vkey} bigint, n bigint, beta double, se double, t_stat double, p double"
+    return rows.mapInPandas(solve, schema)
+
+
+# ------------------------------------------------------------------ ST-5 logistic + Firth
+def glm_logistic(genotypes: DataFrame, mf: DataFrame, cov_names: Sequence[str],
+                 key: str = "sample_id", vkey: str = "v", max_samples: int = 200_000) -> DataFrame:
+    """ST-5: logistic regression per (binary phenotype, variant) with Firth fallback.
+
+    The design (samples x phenotypes x covariates) is bounded by the cohort and
+    checked against ``max_samples`` before it is shipped to the tasks; the
+    genotypes stay sparse and are densified one variant at a time.
+    Output: pheno, v, n, firth, beta (log OR), or, se, z_stat, p.
+    """
+    cov = list(cov_names)
+    design = mf.select("pheno", key, "y", *cov).toPandas()
+    if design[key].nunique() > max_samples:
+        raise ValueError("cohort larger than the in-task design bound; raise max_samples")
+    samples = sorted(design[key].unique())
+    idx = {s: i for i, s in enumerate(samples)}
+    n = len(samples)
+    X = np.full((n, len(cov)), np.nan)
+    for c_i, c in enumerate(cov):
+        X[design[key].map(idx).to_numpy(), c_i] = design[c].to_numpy(float)
+    ys = {}
+    for ph, sub in design.groupby("pheno"):
+        y = np.full(n, np.nan)
+        y[sub[key].map(idx).to_numpy()] = sub["y"].to_numpy(float)
+        if set(np.unique(y[~np.isnan(y)])) == {0.0, 1.0}:
+            ys[ph] = y
+    bc = genotypes.sparkSession.sparkContext.broadcast((idx, X, ys))
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        idx_, X_, ys_ = bc.value
+        g = np.zeros(len(idx_))
+        pos = pdf[key].map(idx_)
+        ok = pos.notna().to_numpy()
+        d = pdf["dosage"].to_numpy(float)
+        g[pos[ok].astype(int).to_numpy()] = d[ok]
+        out = []
+        for ph, y in ys_.items():
+            mask = ~np.isnan(y) & ~np.isnan(g) & ~np.isnan(X_).any(axis=1)
+            Xd = np.column_stack([np.ones(mask.sum()), g[mask], X_[mask]])
+            yy = y[mask]
+            if np.unique(g[mask]).size < 2:
+                continue
+            beta, cov_m, conv = nm.logistic_irls(Xd, yy)
+            firth = False
+            if not conv:
+                beta, cov_m, conv = nm.logistic_firth(Xd, yy)
+                firth = True
+            if cov_m is None:
+                out.append((ph, pdf[vkey].iloc[0], int(mask.sum()), firth, np.nan, np.nan, np.nan, np.nan, np.nan))
+                continue
+            b, se = beta[1], float(np.sqrt(cov_m[1, 1]))
+            z = b / se
+            out.append((ph, pdf[vkey].iloc[0], int(mask.sum()), firth, b, float(np.exp(b)), se, z,
+                        nm.normal_two_sided_p(z)))
+        return pd.DataFrame(out, columns=["pheno", vkey, "n", "firth", "beta", "or", "se", "z_stat", "p"])
+
+    schema = (f"pheno string, {vkey} bigint, n bigint, firth boolean, beta double, or double, se double, "
+              "z_stat double, p double")
+    return genotypes.select(vkey, key, "dosage").groupBy(vkey).applyInPandas(fit, schema)

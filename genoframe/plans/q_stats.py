@@ -1 +1,288 @@
-"""placeholder"""
+"""Registered analyses: statistical operators (ST-1..11), PCA-based figure tables, UDF surface, run grid."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from genoframe import fixtures as fx
+from genoframe.functions import annotation as fa
+from genoframe.functions.recode import binary01
+from genoframe.operators import annotate as oa
+from genoframe.operators import reshape as ors
+from genoframe.operators import sites as osi
+from genoframe.plans import assoc as st
+from genoframe.plans import curvefit as cf
+from genoframe.plans import pca as pc
+from genoframe.plans import products as pr
+from genoframe.plans import settest as sk
+from genoframe.plans.phenotypes import CATEGORICAL, make_psam
+from genoframe.plans.q_columns import r6, zscored_pcs, SQL_PCS
+from genoframe.plans.registry import register
+
+COVS = [f"PC{i}" for i in range(1, 7)]
+
+
+def cohort_genotypes(spark, d, rare: bool = False):
+    g = fx.rare_genotypes(spark, d) if rare else fx.genotypes(spark, d)
+    return g.withColumn("sample_id", F.format_string("S%03d", "s"))
+
+
+def pheno_long(spark, d):
+    """Long phenotypes: categorical traits recoded 1/2 -> 0/1, plus a continuous trait QT."""
+    ps = make_psam(fx.pheno(spark, d), continuous={})
+    binary = [c for c in ps.columns if c in CATEGORICAL and c != "SEX"]
+    ps = ps.select("sample_id", *[binary01(c).cast("double").alias(c) for c in binary])
+    qt = fx.pheno(spark, d).select("sample_id", F.round(F.col("quant") / 1000.0, 6).alias("QT"))
+    wide = ps.join(qt, "sample_id")
+    return wide.unpivot(["sample_id"], binary + ["QT"], "pheno", "value").where(F.col("value").isNotNull())
+
+
+def model_frame(spark, d, cov=COVS):
+    return st.model_frame_long(pheno_long(spark, d), zscored_pcs(spark, d), cov)
+
+
+def maf_filtered(spark, d, g):
+    tags = osi.fill_tags(g, fx.samples(spark, d))
+    keep = osi.maf_mac(tags, 0.05, 20).select("v")
+    return g.join(keep, "v", "left_semi")
+
+
+# ------------------------------------------------------------------ ST-1 GRM / PCA
+def _tags(spark, d):
+    return osi.fill_tags(fx.genotypes(spark, d), fx.samples(spark, d))
+
+
+@register("st01_grm", """
+, n AS (SELECT count(*) AS n FROM samples)
+, tg AS (SELECT v, sum(dosage) AS ac, 2 * (n.n - count(*) FILTER (WHERE dosage IS NULL)) AS an FROM genotypes, n GROUP BY v, n.n)
+, sel AS (SELECT v, ac / CAST(an AS DOUBLE) AS p FROM tg
+          WHERE least(ac / CAST(an AS DOUBLE), 1 - ac / CAST(an AS DOUBLE)) >= 0.05 AND ac > 0 AND ac < an)
+, dense AS (SELECT sel.v, sa.sample_id,
+              CASE WHEN g.v IS NOT NULL AND g.dosage IS NULL THEN 0.0
+                   ELSE (coalesce(g.dosage, 0) - 2 * sel.p) / sqrt(2 * sel.p * (1 - sel.p)) END AS x
+            FROM sel CROSS JOIN samples sa LEFT JOIN genotypes g ON g.v = sel.v AND g.s = sa.s)
+, m AS (SELECT count(*) AS m FROM sel)
+SELECT a.sample_id AS sample_i, b.sample_id AS sample_j, round(sum(a.x * b.x) / max(m.m), 6) AS grm
+FROM dense a JOIN dense b ON a.v = b.v AND a.sample_id <= b.sample_id CROSS JOIN m
+GROUP BY 1, 2""", ["samples", "genotypes"])
+def st01(spark, d):
+    g = cohort_genotypes(spark, d)
+    t = pc.grm_table(spark, g, _tags(spark, d), fx.samples(spark, d))
+    return t.select("sample_i", "sample_j", r6(F.col("grm")).alias("grm"))
+
+
+def pca_result(spark, d, k: int = 10):
+    return pc.pca(spark, cohort_genotypes(spark, d), _tags(spark, d), fx.samples(spark, d), k)
+
+
+@register("st01b_pca")
+def st01b(spark, d):
+    pcs, _ = pca_result(spark, d)
+    return pcs
+
+
+@register("dp5b_scree_pca")
+def dp5b(spark, d):
+    _, eig = pca_result(spark, d)
+    return pr.scree(eig)
+
+
+@register("dp6_pca_pairs")
+def dp6(spark, d):
+    pcs, _ = pca_result(spark, d)
+    return ors.pca_pairs(pcs, fx.pheno(spark, d).select("sample_id", "pheno"), n_pc=10)
+
+
+@register("dp7_ternary_pca_controls")
+def dp7(spark, d):
+    from genoframe.plans.q_sites import control_hardy
+    return osi.ternary(control_hardy(spark, d))
+
+
+# ------------------------------------------------------------------ ST-2 LD pruning
+@register("st02_ld_prune")
+def st02(spark, d):
+    g = cohort_genotypes(spark, d)
+    tags = _tags(spark, d)
+    common = tags.where(F.col("maf") >= 0.05).select("v")
+    v = fx.variants(spark, d).join(common, "v", "left_semi")
+    return pc.ld_prune(g, v, tags, fx.samples(spark, d).count())
+
+
+# ------------------------------------------------------------------ ST-3 standardize
+@register("st03_standardize", SQL_PCS + """
+SELECT sample_id, """ + ", ".join(f'round("PC{i}", 6) AS "PC{i}"' for i in range(1, 7)) + " FROM pcs",
+          ["pheno"])
+def st03(spark, d):
+    z = zscored_pcs(spark, d)
+    return z.select("sample_id", *[r6(F.col(c)).alias(c) for c in COVS])
+
+
+# ------------------------------------------------------------------ ST-4 linear GLM
+SQL_LIN_NOCOV = """
+, n AS (SELECT count(*) AS n FROM samples)
+, tg AS (SELECT v, CAST(sum(dosage) AS BIGINT) AS ac, 2 * (n.n - count(*) FILTER (WHERE dosage IS NULL)) AS an
+         FROM genotypes, n GROUP BY v, n.n)
+, sel AS (SELECT v FROM tg WHERE least(ac / CAST(an AS DOUBLE), 1 - ac / CAST(an AS DOUBLE)) >= 0.05
+                             AND least(ac, an - ac) >= 20)
+, yv AS (SELECT sample_id, s, round(quant / 1000.0, 6) AS y FROM pheno)
+, dense AS (SELECT sel.v, yv.y, CAST(coalesce(g.dosage, 0) AS DOUBLE) AS g,
+              (g.v IS NOT NULL AND g.dosage IS NULL) AS miss
+            FROM sel CROSS JOIN yv LEFT JOIN genotypes g ON g.v = sel.v AND g.s = yv.s)
+, fit AS (SELECT v, count(*) AS n, regr_slope(y, g) AS beta, regr_sxx(y, g) AS sxx, regr_syy(y, g) AS syy,
+                 regr_sxy(y, g) AS sxy FROM dense WHERE NOT miss GROUP BY v)
+SELECT 'QT' AS pheno, v, CAST(n AS BIGINT) AS n, round(beta, 6) AS beta,
+       round(sqrt((syy - sxy * sxy / sxx) / (n - 2) / sxx), 6) AS se,
+       round(beta / sqrt((syy - sxy * sxy / sxx) / (n - 2) / sxx), 6) AS t_stat
+FROM fit"""
+
+
+@register("st04_glm_linear_nocov", SQL_LIN_NOCOV, ["samples", "genotypes", "pheno"])
+def st04(spark, d):
+    mf = model_frame(spark, d, []).where(F.col("pheno") == "QT")
+    g = maf_filtered(spark, d, cohort_genotypes(spark, d))
+    r = st.glm_linear(g, mf, [])
+    return r.select("pheno", "v", "n", r6(F.col("beta")).alias("beta"), r6(F.col("se")).alias("se"),
+                    r6(F.col("t_stat")).alias("t_stat"))
+
+
+@register("st04b_glm_linear")
+def st04b(spark, d):
+    mf = model_frame(spark, d).where(F.col("pheno") == "QT")
+    return st.glm_linear(maf_filtered(spark, d, cohort_genotypes(spark, d)), mf, COVS)
+
+
+@register("st05_glm_logistic")
+def st05(spark, d):
+    mf = model_frame(spark, d).where(F.col("pheno").isin("ALS", "MS", "ALS_MS"))
+    return st.glm_logistic(maf_filtered(spark, d, cohort_genotypes(spark, d)), mf, COVS)
+
+
+# ------------------------------------------------------------------ ST-6 null model
+@register("st06_null_model_intercept", """
+, yv AS (SELECT sample_id, round(quant / 1000.0, 6) AS y FROM pheno)
+SELECT 'QT' AS pheno, sample_id, round(y - avg(y) OVER (), 6) AS resid_raw FROM yv""", ["pheno"])
+def st06(spark, d):
+    mf = model_frame(spark, d, []).where(F.col("pheno") == "QT")
+    nmod = st.null_model(mf, [])
+    # the model is y ~ 1, so resid * sigma = y - mean(y)
+    sig = mf.agg(F.stddev_samp("y")).first()[0]
+    return nmod.select("pheno", "sample_id", r6(F.col("resid") * F.lit(sig)).alias("resid_raw"))
+
+
+@register("st06b_null_model")
+def st06b(spark, d):
+    return st.null_model(model_frame(spark, d), COVS)
+
+
+# ------------------------------------------------------------------ ST-7..10 set tests
+def gene_sets(spark, d):
+    """Variant -> gene (the annotation's SYMBOL unit) for annotated, PASS variants."""
+    v = fx.variants(spark, d)
+    return v.where((F.col("v") % 3 != 0) & (F.col("filter") == "PASS")).select("v", F.col("gene").alias("unit"))
+
+
+def _set_test(spark, d, phenos, max_maf, method):
+    mf = model_frame(spark, d).where(F.col("pheno").isin(*phenos))
+    nmod = st.null_model(mf, COVS)
+    return sk.set_test(cohort_genotypes(spark, d, rare=True), gene_sets(spark, d), nmod,
+                       zscored_pcs(spark, d), COVS, max_maf=max_maf, method=method)
+
+
+register("st07_skat")(lambda spark, d: _set_test(spark, d, ["QT"], 0.05, "SKAT"))
+register("st08_skato")(lambda spark, d: _set_test(spark, d, ["QT"], 0.05, "SKATO"))
+register("st08b_burden")(lambda spark, d: _set_test(spark, d, ["QT"], 0.05, "burden"))
+register("st09_skato_binary")(lambda spark, d: _set_test(spark, d, ["ALS", "MS"], 0.05, "SKATO"))
+register("st10_skato_maf001")(lambda spark, d: _set_test(spark, d, ["QT", "ALS"], 0.01, "SKATO"))
+
+
+@register("st10b_maf_cut", """
+, ctl AS (SELECT s FROM pheno)
+, af AS (SELECT v, sum(dosage) / (2.0 * (SELECT count(*) FROM ctl)) AS af FROM rare_genotypes GROUP BY v)
+SELECT v, round(least(af, 1 - af), 6) AS maf, least(af, 1 - af) <= 0.01 AS keep_001,
+       least(af, 1 - af) <= 0.05 AS keep_005 FROM af""", ["pheno", "rare_genotypes"])
+def st10b(spark, d):
+    g = fx.rare_genotypes(spark, d)
+    t = osi.fill_tags(g, fx.pheno(spark, d).select("s"))
+    return t.select("v", r6(F.col("maf")).alias("maf"), (F.col("maf") <= 0.01).alias("keep_001"),
+                    (F.col("maf") <= 0.05).alias("keep_005"))
+
+
+# ------------------------------------------------------------------ ST-11 decay fit
+@register("st11_fit_d50", """
+SELECT pid, CAST(20 + pid % 80 AS DOUBLE) AS "D50", CAST(2 + pid % 7 AS DOUBLE) AS "Dx"
+FROM curves WHERE total BETWEEN 1 AND 48 GROUP BY pid HAVING count(*) >= 3""", ["curves"])
+def st11(spark, d):
+    f = cf.fit_d50(fx.curves(spark, d))
+    return f.select("pid", F.round("D50", 4).alias("D50"), F.round("Dx", 4).alias("Dx"))
+
+
+@register("st11b_fit_d50_visits")
+def st11b(spark, d):
+    """The decay fit on the registry visits (t = months since onset)."""
+    from genoframe.functions.dates import months_between_avg
+    v = fx.visits(spark, d).join(fx.patients(spark, d).select("pid", "onset"), "pid")
+    pts = v.select("pid", months_between_avg("day", "onset", None).alias("t"), "total")
+    return cf.fit_d50(pts)
+
+
+# ------------------------------------------------------------------ UDF surface
+@register("udf01_post_ops", """
+SELECT vv.v, coalesce(greatest(""" + ", ".join(
+    f"CASE WHEN s.\"AC_{p}\" = 0 THEN 0.0 ELSE round(s.\"AC_{p}\" / nullif(CAST(s.\"AN_{p}\" AS DOUBLE), 0), 9) END"
+    for p in fx.POPULATIONS) + """) > 0.01, false) AS is_common
+FROM variants vv LEFT JOIN sites s USING (chrom, pos, ref, alt)""", ["variants", "sites"])
+def udf01(spark, d):
+    spec = oa.gnomad_spec()
+    spec.post.append(("is_common", lambda m: F.coalesce(m > 0.01, F.lit(False)), ["max_aaf_all"]))
+    return oa.annotate_exact(fx.variants(spark, d), fx.sites(spark, d), spec).select("v", "is_common")
+
+
+@register("udf02_annotation_ops", """
+SELECT vv.v, s.n_src, s.max_score, s.names
+FROM variants vv LEFT JOIN (
+  SELECT chrom, CAST(count(*) AS BIGINT) AS n_src, max(sv_score) AS max_score,
+         string_agg(sv_name, ',' ORDER BY sv_name) AS names FROM intervals GROUP BY chrom) s USING (chrom)""",
+          ["variants", "intervals"])
+def udf02(spark, d):
+    spec = oa.AnnotationSpec(["sv_key", "sv_score", "sv_name"], ["n_src", "max_score", "names"],
+                             ["count", "max", "concat"])
+    out = oa.annotate_exact(fx.variants(spark, d), fx.intervals(spark, d), spec, key=["chrom"])
+    return out.select("v", F.col("n_src").cast("bigint"), "max_score", "names")
+
+
+@register("udf03_across", """
+SELECT s, """ + ", ".join(f"round(c{i} / 1000.0, 3) AS c{i}" for i in range(1, 7)) + " FROM pheno", ["pheno"])
+def udf03(spark, d):
+    from genoframe.operators.columns import across
+    p = fx.pheno(spark, d).select("s", *[f"c{i}" for i in range(1, 7)])
+    return across(p, "starts:c", lambda c: F.round(c / 1000.0, 3))
+
+
+@register("udf04_group_map", """
+SELECT pid, CAST(count(*) AS BIGINT) AS n_visits, max(total) AS best_total FROM visits
+WHERE total IS NOT NULL GROUP BY pid""", ["visits"])
+def udf04(spark, d):
+    import pandas as pd
+    from genoframe.operators.grouped import group_map
+
+    def summary(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"pid": [pdf["pid"].iloc[0]], "n_visits": [len(pdf)],
+                             "best_total": [int(pdf["total"].max())]})
+
+    v = fx.visits(spark, d).where(F.col("total").isNotNull()).select("pid", "total")
+    return group_map(v, ["pid"], summary, "pid bigint, n_visits bigint, best_total int")
+
+
+@register("set11_association_grid", """
+SELECT 'impact_HIGH_or_cadd_20_or_sift4g_D_or_polyphen2_D' AS filter, m.max_maf, t.pheno, 'SYMBOL' AS unit,
+       'SKATO' AS test
+FROM (VALUES (0.01), (0.05)) m(max_maf), (VALUES ('QT'), ('ALS'), ('MS'), ('ALS_MS')) t(pheno)""")
+def set11(spark, d):
+    """The run grid over phenotypes that pass FLT-25, as one DataFrame (exploded, not joined)."""
+    mf = model_frame(spark, d).where(F.col("pheno").isin("QT", "ALS", "MS", "ALS_MS"))
+    phenos = st.valid_phenotypes(mf)
+    g = phenos.select(F.lit("impact_HIGH_or_cadd_20_or_sift4g_D_or_polyphen2_D").alias("filter"),
+                      F.explode(F.array(F.lit(0.01), F.lit(0.05))).alias("max_maf"), "pheno",
+                      F.lit("SYMBOL").alias("unit"), F.lit("SKATO").alias("test"))
+    return g
