@@ -751,3 +751,43 @@ def fn31(spark, d):
     return m.select("patient_id", fr.ms_course(code).alias("disease_course"),
                     fr.ms_course_group(fr.ms_course(code)).alias("fenotipo"),
                     F.when(~unknown, months).alias("tiempo_iedss3"))
+
+
+@register("fn21_common_pathogenic", """
+SELECT c.chrom, c.pos, c.ref, c.alt,
+  coalesce(contains(c."CLNSIG", 'pathogenic') AND greatest(""" + ", ".join(
+    f"CASE WHEN s.\"AC_{p}\" = 0 THEN 0.0 ELSE round(s.\"AC_{p}\" / nullif(CAST(s.\"AN_{p}\" AS DOUBLE), 0), 9) END"
+    for p in fx.POPULATIONS) + """) > 0.005, false) AS common_pathogenic,
+  coalesce(contains(lower(c."CLNSIG"), 'pathogenic') AND greatest(""" + ", ".join(
+    f"CASE WHEN s.\"AC_{p}\" = 0 THEN 0.0 ELSE round(s.\"AC_{p}\" / nullif(CAST(s.\"AN_{p}\" AS DOUBLE), 0), 9) END"
+    for p in fx.POPULATIONS) + """) > 0.005, false) AS common_pathogenic_ci
+FROM clinvar c LEFT JOIN sites s USING (chrom, pos, ref, alt)""", ["clinvar", "sites"])
+def fn21(spark, d):
+    s = fx.sites(spark, d)
+    mx = fa.max_pop_af(*[fa.allele_freq(f"AC_{p}", f"AN_{p}") for p in fx.POPULATIONS])
+    j = fx.clinvar(spark, d).join(s.select("chrom", "pos", "ref", "alt", mx.alias("max_aaf_all")),
+                                  ["chrom", "pos", "ref", "alt"], "left")
+    return j.select("chrom", "pos", "ref", "alt",
+                    fa.common_pathogenic("CLNSIG", "max_aaf_all").alias("common_pathogenic"),
+                    fa.common_pathogenic("CLNSIG", "max_aaf_all", ignore_case=True).alias("common_pathogenic_ci"))
+
+
+@register("fn27_left_align")
+def fn27(spark, d):
+    """Indels made from every tenth variant, normalised against reference windows built
+    deterministically for the bins the variants fall in (and the bin before)."""
+    from genoframe.operators.normalize import left_align
+    width = 64
+    v = fx.variants(spark, d)
+    bins = v.select("chrom", F.floor((F.col("pos") - 1) / width).alias("bin"))
+    bins = bins.unionByName(bins.select("chrom", (F.col("bin") - 1).alias("bin"))).distinct()
+    seq = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.element_at(
+        F.array(*[F.lit(b) for b in "ACGT"]), ((F.col("bin") * 7 + F.floor(i / 3)) % 4 + 1).cast("int"))), "")
+    win = bins.select("chrom", F.col("bin").cast("bigint"), seq.alias("seq"))
+    start = F.floor((F.col("pos") - 1) / width) * width + 1
+    ind = (v.where(F.col("v") % 10 == 0).join(win.withColumnRenamed("bin", "_b"),
+                                             ["chrom"]).where(F.col("_b") == F.floor((F.col("pos") - 1) / width))
+           .select("chrom", "pos", F.substring("seq", (F.col("pos") - start + 1).cast("int"), 2).alias("ref"))
+           .where(F.length("ref") == 2)
+           .select("chrom", "pos", "ref", F.substring("ref", 1, 1).alias("alt")))
+    return left_align(ind, win, width)

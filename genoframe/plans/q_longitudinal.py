@@ -317,3 +317,13 @@ SELECT p.pid, CAST(floor(CAST(datediff('day', p.birth, p.onset) AS DOUBLE) / 365
                       for k in range(1, 5)) + """
 FROM patients p LEFT JOIN base b ON p.pid = b.pid LEFT JOIN kdates k ON p.pid = k.pid LEFT JOIN mdates m ON p.pid = m.pid""",
          ["visits", "patients"])(als_patient_table)
+
+
+@register("jn13_left_join_summarise", """
+SELECT m.patient_id, CAST(count(e.event_id) AS BIGINT) AS n_episodes, max(e.date) AS last_episode
+FROM ms_onsets m LEFT JOIN episodes e ON e.patient_id = m.patient_id GROUP BY m.patient_id""",
+          ["ms_onsets", "episodes"])
+def jn13(spark, d):
+    j = fx.ms_onsets(spark, d).join(fx.episodes(spark, d), "patient_id", "left")
+    return j.groupBy("patient_id").agg(F.count("event_id").cast("bigint").alias("n_episodes"),
+                                       F.max("date").alias("last_episode"))

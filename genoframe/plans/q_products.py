@@ -231,3 +231,20 @@ SELECT v, """ + CHROM_NUM + """ AS chrom_num, pos FROM variants""", ["variants"]
 def so01(spark, d):
     from genoframe.operators.sorts import sort_variants
     return sort_variants(fx.variants(spark, d)).select("v", "chrom_num", "pos")
+
+
+@register("so06_top_k", """
+SELECT v, p FROM (SELECT v, p FROM results WHERE p IS NOT NULL ORDER BY p, v LIMIT 20)""", ["results"])
+def so06(spark, d):
+    """Top 20 smallest p, ties broken by input order (TakeOrderedAndProject, no global sort)."""
+    return res(spark, d).where(F.col("p").isNotNull()).orderBy("p", "_row").limit(20).select("v", "p")
+
+
+@register("so07_ordinal_by_measure", """
+SELECT gene, CAST(row_number() OVER (ORDER BY avg_beta, gene) AS INTEGER) AS ordinal
+FROM (SELECT gene, round(avg(beta), 6) AS avg_beta FROM results GROUP BY gene)""", ["results"])
+def so07(spark, d):
+    """A label's ordinal by a measure (factor reordering), on the per-gene table (bounded rows)."""
+    from genoframe.operators.windows import with_row
+    g = res(spark, d).groupBy("gene").agg(F.round(F.avg("beta"), 6).alias("avg_beta"))
+    return with_row(g, ["avg_beta", "gene"], "ordinal").select("gene", F.col("ordinal").cast("int"))

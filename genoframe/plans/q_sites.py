@@ -129,12 +129,15 @@ def ag16(spark, d):
     return osi.set_sizes(sets)
 
 
-@register("ag18_ternary", SQL_CTRL + _hwe_sql("g2", "(SELECT n FROM nc)") + """
+SQL_TERNARY = SQL_CTRL + _hwe_sql("g2", "(SELECT n FROM nc)") + """
 SELECT v, round(hom_ref / nullif(CAST(nn AS DOUBLE), 0), 6) AS aa, round(het / nullif(CAST(nn AS DOUBLE), 0), 6) AS ab,
        round(hom_alt / nullif(CAST(nn AS DOUBLE), 0), 6) AS bb,
        round(het / nullif(CAST(nn AS DOUBLE), 0) - 2 * (hom_ref / nullif(CAST(nn AS DOUBLE), 0) + het / nullif(2.0 * nn, 0))
              * (1 - (hom_ref / nullif(CAST(nn AS DOUBLE), 0) + het / nullif(2.0 * nn, 0))), 6) AS het_residual
-FROM hwe""", ["pheno", "genotypes", "variants"])
+FROM hwe"""
+
+
+@register("ag18_ternary", SQL_TERNARY, ["pheno", "genotypes", "variants"])
 def ag18(spark, d):
     t = osi.ternary(control_hardy(spark, d))
     return t.select("v", *[r6(F.col(c)).alias(c) for c in ("aa", "ab", "bb", "het_residual")])
@@ -180,3 +183,7 @@ def set08(spark, d):
     c = oc.split_csq(fx.csq(spark, d), CSQ_FIELDS)
     x = ors.explode_csq(c)
     return x.select("v", F.col("tx")["SYMBOL"].alias("symbol"), F.col("tx")["IMPACT"].alias("impact"))
+
+
+register("dp7_ternary", SQL_TERNARY, ["pheno", "genotypes", "variants"])(
+    lambda spark, d: ag18(spark, d))

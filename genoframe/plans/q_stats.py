@@ -93,10 +93,6 @@ def dp6(spark, d):
     return ors.pca_pairs(pcs, fx.pheno(spark, d).select("sample_id", "pheno"), n_pc=10)
 
 
-@register("dp7_ternary_pca_controls")
-def dp7(spark, d):
-    from genoframe.plans.q_sites import control_hardy
-    return osi.ternary(control_hardy(spark, d))
 
 
 # ------------------------------------------------------------------ ST-2 LD pruning
