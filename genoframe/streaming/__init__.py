@@ -1,0 +1,7 @@
+"""Streaming: none.
+
+Every step of the modelled workflow is a file-to-file batch computation; there is
+no watermark, window, state or late-data handling to reproduce, so no streaming
+operator is provided.  Batch operators here accept any DataFrame, including one
+read by ``spark.readStream`` inside ``foreachBatch``.
+"""
