@@ -81,9 +81,9 @@ def skato_pvalue(S: np.ndarray, K: np.ndarray, rhos: Sequence[float] = RHO_GRID)
     # quantile of each Q_rho at 1 - pmin (Liu moment matching)
     qmin = []
     for lam in lams:
-        mu_q, sigma_q, mu_x, sigma_x, df = nm.liu_params(lam, mod=True)
+        mu_q, sigma_q, _, _, df = nm.liu_params(lam, mod=True)
         x = nm.chi2_isf(pmin, df)
-        qmin.append((x - mu_x) / sigma_x * sigma_q + mu_q)
+        qmin.append((x - df) / np.sqrt(2 * df) * sigma_q + mu_q)
     qmin = np.array(qmin)
     # decomposition of K into the burden direction and the remainder (all from K itself)
     one = np.ones(m)
@@ -102,13 +102,15 @@ def skato_pvalue(S: np.ndarray, K: np.ndarray, rhos: Sequence[float] = RHO_GRID)
     ker_q = float(np.sum(lam2 ** 4)) / float(np.sum(lam2 ** 2)) ** 2 * 12
     df = 12 / ker_q
     tau = np.array([m * m * r * zz + (1 - r) / zz * float(np.sum((K @ one / m) ** 2)) for r in rr])
-    # integrate P(kappa < min_rho (q_rho - tau_rho x)/(1-rho)) * dchisq(x, 1) over x
-    xs = np.linspace(1e-6, 40, 4001)
-    dens = np.exp(-xs / 2) / np.sqrt(2 * np.pi * xs)
+    # integrate P(kappa < min_rho (q_rho - tau_rho x)/(1-rho)) * dchisq(x, 1) over x = u^2
+    # (the substitution removes the x^-1/2 singularity of the chi2_1 density at 0)
+    us = np.linspace(0.0, np.sqrt(40.0), 2001)
+    xs = us * us
+    dens = 2 * np.exp(-xs / 2) / np.sqrt(2 * np.pi)      # f(u^2) * 2u
     tmin = np.min((qmin[:, None] - tau[:, None] * xs[None, :]) / (1 - rr[:, None]), axis=0)
     std = (tmin - mu_q) / np.sqrt(var_q) * np.sqrt(2 * df) + df
     cdf = np.array([1 - nm.chi2_sf(s, df) if s > 0 else 0.0 for s in std])
-    integral = float(np.trapezoid(cdf * dens, xs))
+    integral = float(np.trapezoid(cdf * dens, us))
     p = 1 - integral
     p = min(max(p, 0.0), 1.0)
     return float(min(p, pmin * len(rr))) if p > 0 else pmin
