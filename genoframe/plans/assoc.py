@@ -152,21 +152,20 @@ def glm_linear(genotypes: DataFrame, mf: DataFrame, cov_names: Sequence[str],
             n = A[:, 0, 0]
             beta = np.full(b, np.nan)
             se = np.full(b, np.nan)
-            for r in range(b):
-                try:
-                    inv = np.linalg.inv(A[r])
-                except np.linalg.LinAlgError:
-                    continue
-                coef = inv @ rhs[r]
-                rss = yy[r] - coef @ rhs[r]
-                df = n[r] - (k + 1)
-                if df <= 0 or not np.isfinite(inv[k, k]) or inv[k, k] <= 0:
-                    continue
-                beta[r] = coef[k]
-                se[r] = np.sqrt(max(rss, 0.0) / df * inv[k, k])
+            # batched inverse; rank-deficient rows (e.g. a monomorphic site) stay NaN
+            good = np.abs(np.linalg.det(A)) > 1e-300
+            if good.any():
+                inv = np.linalg.inv(A[good])
+                coef = np.einsum("bij,bj->bi", inv, rhs[good])
+                rss = yy[good] - np.einsum("bi,bi->b", coef, rhs[good])
+                df = n[good] - (k + 1)
+                v_kk = inv[:, k, k]
+                ok = (df > 0) & np.isfinite(v_kk) & (v_kk > 0)
+                bb = np.where(ok, coef[:, k], np.nan)
+                ss = np.where(ok, np.sqrt(np.maximum(rss, 0.0) / np.where(df > 0, df, 1) * np.abs(v_kk)), np.nan)
+                beta[good], se[good] = bb, ss
             t = beta / se
-            p = np.array([nm.t_two_sided_p(tt, nn - (k + 1)) if np.isfinite(tt) else np.nan
-                          for tt, nn in zip(t, n)])
+            p = nm.t_two_sided_p_vec(t, n - (k + 1))
             yield pd.DataFrame({"pheno": pdf["pheno"], vkey: pdf[vkey], "n": n.astype("int64"),
                                 "beta": beta, "se": se, "t_stat": t, "p": p})
 

@@ -109,7 +109,7 @@ def skato_pvalue(S: np.ndarray, K: np.ndarray, rhos: Sequence[float] = RHO_GRID)
     dens = 2 * np.exp(-xs / 2) / np.sqrt(2 * np.pi)      # f(u^2) * 2u
     tmin = np.min((qmin[:, None] - tau[:, None] * xs[None, :]) / (1 - rr[:, None]), axis=0)
     std = (tmin - mu_q) / np.sqrt(var_q) * np.sqrt(2 * df) + df
-    cdf = np.array([1 - nm.chi2_sf(s, df) if s > 0 else 0.0 for s in std])
+    cdf = nm.chi2_cdf_vec(std, df)
     integral = float(np.trapezoid(cdf * dens, us))
     p = 1 - integral
     p = min(max(p, 0.0), 1.0)
@@ -127,7 +127,9 @@ def set_test(genotypes: DataFrame, sets: DataFrame, null: DataFrame, covars: Dat
     variants with allele frequency > 0.5 are flipped to the minor allele.
     """
     cov = list(cov_names)
-    nx = null.join(covars.select(key, *cov), key)          # (pheno, sample, resid, v, covariates)
+    # (pheno, sample, resid, var_w, covariates): n x phenotypes rows, fitted once and
+    # materialised in the checkpoint folder (it feeds the totals and the per-set join)
+    nx = null.join(covars.select(key, *cov), key).checkpoint()
     # per-phenotype totals over all samples in the model (a few numbers per phenotype)
     tot = nx.groupBy("pheno").agg(
         F.count(F.lit(1)).alias("n"), F.sum("resid").alias("sum_r"), F.sum("var_w").alias("sum_v"),

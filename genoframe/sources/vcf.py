@@ -112,9 +112,11 @@ def vcf_lines(variants: DataFrame, genotypes: DataFrame, sample_ids: list[str],
     Each variant's calls are gathered into a map (at most one entry per
     sample, i.e. bounded by the cohort size); absent samples are hom-ref.
     """
-    idx = {s: i for i, s in enumerate(sample_ids)}
-    m = F.create_map(*[x for s, i in idx.items() for x in (F.lit(s), F.lit(i))])
-    calls = (genotypes.select(key, m[F.col(sample)].alias("_si"), _gt_text(F.col("dosage")).alias("_gt"))
+    spark = genotypes.sparkSession
+    index = spark.createDataFrame([(s, i) for i, s in enumerate(sample_ids)], f"{sample} string, _si int")
+    from genoframe.operators.joins import broadcast_if_small
+    calls = (genotypes.join(broadcast_if_small(index), sample)
+             .select(key, "_si", _gt_text(F.col("dosage")).alias("_gt"))
              .groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_si", "_gt"))).alias("_calls")))
     n = len(sample_ids)
     j = variants.join(calls, key, "left")
