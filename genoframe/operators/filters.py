@@ -135,9 +135,12 @@ def require_pheno(samples: DataFrame, phenos: Sequence[str]) -> DataFrame:
 
 
 def min_group(df: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
-    """FLT-23 / WN-13: keep groups with at least k rows (window count, no self-join)."""
-    w = Window.partitionBy(*keys)
-    return df.withColumn("_n", F.count(F.lit(1)).over(w)).where(F.col("_n") >= k).drop("_n")
+    """FLT-23: keep groups with at least k rows.
+
+    Counts are a map-side-combined aggregate and the filter a semi join, so a hot
+    key is never gathered into one task (AQE splits skewed join partitions)."""
+    big = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k).select(*keys)
+    return df.join(big, list(keys), "left_semi")
 
 
 def significant(df: DataFrame, q: float = 0.05, col: str = "q_fdr") -> DataFrame:

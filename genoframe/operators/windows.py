@@ -68,5 +68,6 @@ def running_sum(df: DataFrame, col: str, order: Sequence, name: str, keys: Seque
 
 
 def group_count(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
-    """WN-13: per-group row count on every row."""
-    return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    """WN-13: per-group row count on every row (aggregate + join: skew-safe)."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    return df.join(counts, list(keys))

@@ -327,3 +327,50 @@ def jn13(spark, d):
     j = fx.ms_onsets(spark, d).join(fx.episodes(spark, d), "patient_id", "left")
     return j.groupBy("patient_id").agg(F.count("event_id").cast("bigint").alias("n_episodes"),
                                        F.max("date").alias("last_episode"))
+
+
+# Skew-safe variants of the keyed scans (range-partitioned, carries between partitions).
+@register("wn04s_fill_down_scan", SQL_NUTRI + """
+SELECT _row, last_value(peso_premorbido IGNORE NULLS) OVER (PARTITION BY pid ORDER BY day, _row
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS peso_premorbido FROM nutri""", ["visits"])
+def wn04s(spark, d):
+    from genoframe.operators.scan import fill_down_scan
+    return fill_down_scan(_nutri(spark, d), ["pid"], ["day", "_row"], ["peso_premorbido"]) \
+        .select("_row", "peso_premorbido")
+
+
+@register("wn05s_fill_up_scan", SQL_NUTRI + """
+SELECT _row, first_value(peso_premorbido IGNORE NULLS) OVER (PARTITION BY pid ORDER BY day, _row
+         ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS peso_premorbido FROM nutri""", ["visits"])
+def wn05s(spark, d):
+    from genoframe.operators.scan import fill_up_scan
+    return fill_up_scan(_nutri(spark, d), ["pid"], ["day", "_row"], ["peso_premorbido"]) \
+        .select("_row", "peso_premorbido")
+
+
+@register("so05s_row_number_scan", """
+SELECT _row, CAST(row_number() OVER (PARTITION BY pid ORDER BY day DESC, _row DESC) AS BIGINT) AS visit_rank
+FROM visits""", ["visits"])
+def so05s(spark, d):
+    return _rank_desc(spark, d)
+
+
+def _rank_desc(spark, d):
+    from genoframe.operators.scan import _scan
+    return _scan(fx.visits(spark, d).select("_row", "pid", "day"), ["pid"], ["day", "_row"], [], "visit_rank",
+                 descending=True).select("_row", "visit_rank")
+
+
+@register("wn13s_hot_key_fill", """
+, hv AS (SELECT _row, CASE WHEN _row % 3 = 0 THEN 0 ELSE pid END AS pid, day,
+                CASE WHEN _row % 5 = 0 THEN total END AS x FROM visits)
+SELECT _row, last_value(x IGNORE NULLS) OVER (PARTITION BY pid ORDER BY day, _row
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS x,
+       CAST(row_number() OVER (PARTITION BY pid ORDER BY day, _row) AS BIGINT) AS k FROM hv""", ["visits"])
+def wn13s(spark, d):
+    """A third of the rows share one key: the scan spreads that key over many partitions."""
+    from genoframe.operators.scan import _scan
+    v = fx.visits(spark, d)
+    hv = v.select("_row", F.when(F.col("_row") % 3 == 0, F.lit(0)).otherwise(F.col("pid")).cast("bigint").alias("pid"),
+                  "day", F.when(F.col("_row") % 5 == 0, F.col("total")).alias("x"))
+    return _scan(hv, ["pid"], ["day", "_row"], ["x"], "k").select("_row", F.col("x").cast("int").alias("x"), "k")
