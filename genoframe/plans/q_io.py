@@ -92,7 +92,7 @@ def src11(spark, d):
 
 
 @register("src02_read_tsv", """
-SELECT pid, CAST(count(*) AS BIGINT) AS n, CAST(count(total) AS BIGINT) AS n_total, sum(total) AS sum_total
+SELECT pid, CAST(count(*) AS BIGINT) AS n, CAST(count(total) AS BIGINT) AS n_total, CAST(sum(total) AS BIGINT) AS sum_total
 FROM visits GROUP BY pid""", ["visits"])
 def src02(spark, d):
     path = sk.write_tsv(fx.visits(spark, d).select("_row", "pid", "day", "total"), scratch_dir(spark, "tsv"))

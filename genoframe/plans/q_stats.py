@@ -273,7 +273,7 @@ def udf04(spark, d):
 @register("set11_association_grid", """
 SELECT 'impact_HIGH_or_cadd_20_or_sift4g_D_or_polyphen2_D' AS filter, m.max_maf, t.pheno, 'SYMBOL' AS unit,
        'SKATO' AS test
-FROM (VALUES (0.01), (0.05)) m(max_maf), (VALUES ('QT'), ('ALS'), ('MS'), ('ALS_MS')) t(pheno)""")
+FROM (VALUES (CAST(0.01 AS DOUBLE)), (CAST(0.05 AS DOUBLE))) m(max_maf), (VALUES ('QT'), ('ALS'), ('MS'), ('ALS_MS')) t(pheno)""")
 def set11(spark, d):
     """The run grid over phenotypes that pass FLT-25, as one DataFrame (exploded, not joined)."""
     mf = model_frame(spark, d).where(F.col("pheno").isin("QT", "ALS", "MS", "ALS_MS"))
