@@ -205,4 +205,12 @@ def set_test(genotypes: DataFrame, sets: DataFrame, null: DataFrame, covars: Dat
         return pd.DataFrame({"pheno": [ph], unit: [u], "n": [n_set], "p": [p]})
 
     schema = f"pheno string, {unit} string, n bigint, p double"
-    return rows.groupBy("pheno", unit).applyInPandas(test, schema)
+    tested = rows.groupBy("pheno", unit).applyInPandas(test, schema)
+    # every (phenotype, set) is reported: sets without rare carriers get n and a NULL p
+    phenos = sorted(totals)
+    every = set_n.select(unit, F.col("n_set").alias("n"),
+                         F.explode(F.array(*[F.lit(p) for p in phenos])).alias("pheno")) if phenos else None
+    if every is None:
+        return tested
+    return every.join(tested.select("pheno", unit, F.col("p")), ["pheno", unit], "left") \
+        .select("pheno", unit, F.col("n").cast("bigint").alias("n"), "p")
