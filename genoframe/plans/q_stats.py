@@ -282,3 +282,53 @@ def set11(spark, d):
                       F.explode(F.array(F.lit(0.01), F.lit(0.05))).alias("max_maf"), "pheno",
                       F.lit("SYMBOL").alias("unit"), F.lit("SKATO").alias("test"))
     return g
+
+
+# ------------------------------------------------------------------ end-to-end flows
+from genoframe.plans import pipelines as pl  # noqa: E402
+from genoframe.plans.q_sites import _hwe_sql  # noqa: E402
+
+
+def _qc(spark, d):
+    return pl.qc_cohort(fx.genotypes(spark, d), fx.variants(spark, d), fx.samples(spark, d))
+
+
+@register("e2_qc_cohort", """
+, nv AS (SELECT count(*) AS nv FROM variants WHERE regexp_full_match(ref, '[ACGT]') AND regexp_full_match(alt, '[ACGT]'))
+, snp AS (SELECT g.* FROM genotypes g JOIN variants vv ON g.v = vv.v
+          WHERE regexp_full_match(vv.ref, '[ACGT]') AND regexp_full_match(vv.alt, '[ACGT]'))
+, srate AS (SELECT sa.s, coalesce(m.miss, 0) / CAST((SELECT nv FROM nv) AS DOUBLE) AS f
+            FROM samples sa LEFT JOIN (SELECT s, count(*) AS miss FROM snp WHERE dosage IS NULL GROUP BY s) m ON m.s = sa.s)
+, ks AS (SELECT s FROM srate WHERE f <= 0.1)
+, g1 AS (SELECT * FROM snp WHERE s IN (SELECT s FROM ks))
+, nk AS (SELECT count(*) AS n FROM ks)
+, vrate AS (SELECT vv.v, coalesce(m.miss, 0) / CAST((SELECT n FROM nk) AS DOUBLE) AS f
+            FROM variants vv LEFT JOIN (SELECT v, count(*) AS miss FROM g1 WHERE dosage IS NULL GROUP BY v) m ON m.v = vv.v
+            WHERE regexp_full_match(vv.ref, '[ACGT]') AND regexp_full_match(vv.alt, '[ACGT]'))
+, kv AS (SELECT v FROM vrate WHERE f <= 0.05)
+, g2 AS (SELECT * FROM g1 WHERE v IN (SELECT v FROM kv))""" + _hwe_sql("g2", "(SELECT n FROM nk)") + """
+SELECT kv.v FROM kv LEFT JOIN hwe ON hwe.v = kv.v WHERE hwe.p_hwe IS NULL OR hwe.p_hwe >= 1e-8""",
+          ["genotypes", "variants", "samples"])
+def e2_qc(spark, d):
+    _, v, _ = _qc(spark, d)
+    return v.select("v")
+
+
+@register("e2_single_variant_association")
+def e2_sva(spark, d):
+    g = cohort_genotypes(spark, d)
+    s = fx.samples(spark, d)
+    return pl.single_variant_association(spark, g, fx.variants(spark, d), s, pheno_long(spark, d), n_pc=6)
+
+
+@register("e3_rare_variant_association")
+def e3_rva(spark, d):
+    from genoframe.plans.q_filters import RVA_FILTER, annotated
+    mf = model_frame(spark, d).where(F.col("pheno").isin("QT", "ALS"))
+    nmod = st.null_model(mf, COVS)
+    res = pl.rare_variant_association(cohort_genotypes(spark, d, rare=True), annotated(spark, d),
+                                      gene_sets(spark, d), nmod, zscored_pcs(spark, d), COVS,
+                                      RVA_FILTER, max_maf=0.05)
+    named = res.withColumn("unit", F.concat_ws(":", "pheno", "unit"))
+    # ties in p are broken by the (unique) set label, a stable key
+    return pr.top_hits(named.withColumn("_row", F.col("unit")), 20)
