@@ -8,7 +8,6 @@ map-side partial aggregation; nothing is densified.
 
 from __future__ import annotations
 
-import math
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
