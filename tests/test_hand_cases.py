@@ -203,3 +203,35 @@ def test_set_tests_calibrated_under_null():
     for col in range(3):
         assert 0.35 < np.nanmedian(res[:, col]) < 0.65
         assert np.mean(res[:, col] < 0.05) < 0.12
+
+
+def test_ld_prune_segments_equal_chromosome_greedy(spark, sf):
+    """Pruning per LD segment (cut where no above-threshold pair spans) equals one greedy pass
+    per chromosome over the same pairs."""
+    from genoframe import fixtures as fx
+    from genoframe.plans import pca as pc
+    from genoframe.plans.q_stats import _tags, cohort_genotypes
+    g, tags = cohort_genotypes(spark, sf), _tags(spark, sf)
+    v = fx.variants(spark, sf).join(tags.where(F.col("maf") >= 0.05).select("v"), "v", "left_semi")
+    n = fx.samples(spark, sf).count()
+    thr = 0.02
+    kept = {r[0] for r in pc.ld_prune(g, v, tags, n, r2_max=thr).collect()}
+    vidx = pc.variant_index(v.select("v", "chrom", "pos"))
+    pairs, _ = pc.ld_pairs(g, vidx, n, 200, 50, thr)
+    P, I = pairs.toPandas(), vidx.select("v", "_cn", "idx").toPandas()
+    T = tags.select("v", "maf").toPandas()
+    maf_v, idx_v, cn_v = dict(zip(T.v, T.maf)), dict(zip(I.v, I.idx)), dict(zip(I.v, I["_cn"]))
+    removed = set()
+    for cn in set(I["_cn"]):
+        vs = list(I.v[I["_cn"] == cn])
+        idx = np.array(sorted(idx_v[x] for x in vs))
+        nbr = {}
+        for a, b in zip(P.v_a, P.v_b):
+            if cn_v[a] == cn:
+                ia, ib = sorted((idx_v[a], idx_v[b]))
+                nbr.setdefault(ia, set()).add(ib)
+                nbr.setdefault(ib, set()).add(ia)
+        rem = pc._greedy(idx, {idx_v[x]: maf_v.get(x, 0.0) for x in vs}, nbr, 200, 50, int(idx.min()), int(idx.max()))
+        removed |= {x for x in vs if idx_v[x] in rem}
+    assert len(P) > 0
+    assert kept == set(I.v) - removed
