@@ -774,7 +774,7 @@ def fn21(spark, d):
 
 @register("fn27_left_align")
 def fn27(spark, d):
-    """Indels made from every tenth variant, normalised against reference windows built
+    """A deletion at every variant locus, normalised against reference windows built
     deterministically for the bins the variants fall in (and the bin before)."""
     from genoframe.operators.normalize import left_align
     width = 64
@@ -785,8 +785,8 @@ def fn27(spark, d):
         F.array(*[F.lit(b) for b in "ACGT"]), ((F.col("bin") * 7 + F.floor(i / 3)) % 4 + 1).cast("int"))), "")
     win = bins.select("chrom", F.col("bin").cast("bigint"), seq.alias("seq"))
     start = F.floor((F.col("pos") - 1) / width) * width + 1
-    ind = (v.where(F.col("v") % 10 == 0).join(win.withColumnRenamed("bin", "_b"),
-                                             ["chrom"]).where(F.col("_b") == F.floor((F.col("pos") - 1) / width))
+    vb = v.withColumn("bin", F.floor((F.col("pos") - 1) / width).cast("bigint"))
+    ind = (vb.join(win, ["chrom", "bin"])
            .select("chrom", "pos", F.substring("seq", (F.col("pos") - start + 1).cast("int"), 2).alias("ref"))
            .where(F.length("ref") == 2)
            .select("chrom", "pos", "ref", F.substring("ref", 1, 1).alias("alt")))
