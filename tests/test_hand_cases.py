@@ -235,3 +235,66 @@ def test_ld_prune_segments_equal_chromosome_greedy(spark, sf):
         removed |= {x for x in vs if idx_v[x] in rem}
     assert len(P) > 0
     assert kept == set(I.v) - removed
+
+
+def test_read_vcf_hand_written(spark, tmp_path):
+    """Multi-sample VCF with phased, missing and partially missing calls and GT not first in FORMAT."""
+    from genoframe.sources.vcf import read_vcf
+    text = "\n".join([
+        "##fileformat=VCFv4.2",
+        "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tA\tB\tC",
+        "1\t100\trs1\tA\tG\t50\tPASS\tAC=3;DB\tDP:GT\t9:0/1\t7:1|1\t3:0/0",
+        "1\t200\t.\tC\tT\t.\tq10\t.\tGT:DP\t./.:1\t0/.:2\t1/0:5",
+        "X\t300\t.\tG\tA\t12.5\tPASS\tAC=1\tGT\t0|0\t0|1\t0/0",
+    ]) + "\n"
+    p = tmp_path / "c.vcf"
+    p.write_text(text)
+    variants, genotypes = read_vcf(spark, str(p))
+    v = {(r["chrom"], r["pos"]): r for r in variants.collect()}
+    assert v[("1", 100)]["info"]["AC"] == "3" and v[("1", 100)]["qual"] == 50.0
+    assert v[("1", 200)]["qual"] is None and v[("1", 200)]["filter"] == "q10"
+    got = sorted((r["pos"], r["sample_id"], r["gt"], r["dosage"]) for r in genotypes.collect())
+    assert got == [(100, "A", "0/1", 1), (100, "B", "1|1", 2), (200, "A", "./.", None),
+                   (200, "B", "0/.", None), (200, "C", "1/0", 1), (300, "B", "0|1", 1)]
+
+
+def test_firth_finite_under_separation():
+    from genoframe.plans.numerics import logistic_firth, logistic_irls
+    x = np.array([0, 0, 0, 0, 1, 1, 1, 1, 0, 1], float)
+    y = np.array([0, 0, 0, 0, 1, 1, 1, 1, 0, 1], float)      # perfectly separated
+    X = np.column_stack([np.ones(10), x])
+    _, _, ok = logistic_irls(X, y)
+    assert not ok
+    beta, cov, conv = logistic_firth(X, y)
+    assert conv and np.all(np.isfinite(beta)) and abs(beta[1]) < 10 and cov is not None
+
+
+def test_logistic_glm_matches_direct_fit(spark, sf):
+    """Sparse-to-dense densification in the logistic GLM equals a direct IRLS on dense data."""
+    from genoframe.plans import assoc
+    from genoframe.plans.numerics import logistic_irls
+    from genoframe.plans.q_stats import COVS, cohort_genotypes, model_frame
+    mf = model_frame(spark, sf).where(F.col("pheno") == "ALS")
+    g = cohort_genotypes(spark, sf)
+    vs = [r[0] for r in g.groupBy("v").count().where("count >= 5").orderBy("v").limit(6).collect()]
+    g = g.where(F.col("v").isin(vs))
+    res = {r["v"]: r for r in assoc.glm_logistic(g, mf, COVS).collect()}
+    m = mf.toPandas().set_index("sample_id")
+    gp = g.toPandas()
+    checked = 0
+    for v in vs:
+        if v not in res or res[v]["firth"]:
+            continue
+        gv = gp[gp.v == v].set_index("sample_id")["dosage"]
+        d = m.copy()
+        d["g"] = 0.0
+        common = d.index.intersection(gv.index)
+        d.loc[common, "g"] = gv.reindex(common).to_numpy(float)
+        d = d[~d["g"].isna()]
+        X = np.column_stack([np.ones(len(d)), d["g"].to_numpy(float), d[COVS].to_numpy(float)])
+        beta, _, ok = logistic_irls(X, d["y"].to_numpy(float))
+        assert ok
+        assert res[v]["beta"] == pytest.approx(beta[1], rel=1e-6, abs=1e-9)
+        assert res[v]["n"] == len(d)
+        checked += 1
+    assert checked > 0
