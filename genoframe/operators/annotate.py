@@ -60,12 +60,17 @@ def apply_post(df: DataFrame, post) -> DataFrame:
     return df
 
 
-def _project(source: DataFrame, spec: AnnotationSpec, key: Sequence[str]) -> DataFrame:
+def _project(source: DataFrame, spec: AnnotationSpec, key: Sequence[str],
+             wanted: DataFrame | None = None) -> DataFrame:
     ops = list(spec.ops or ["self"] * len(spec.fields))
     src = source
     if "alt" in key and "alt" in source.columns:
         # multi-allelic site records: one row per ALT allele
         src = source.withColumn("alt", F.explode(F.split("alt", ",")))
+    if wanted is not None:
+        # keep only the alleles the cohort has: the semi join hash-partitions the source
+        # on the key, so the de-duplication below reuses that partitioning
+        src = src.join(wanted, list(key), "left_semi")
     if all(o == "self" for o in ops):
         # one record per allele in a site file: a plain projection, no aggregation
         return src.select(*key, *[F.col(f).alias(n) for f, n in zip(spec.fields, spec.names)]) \
@@ -77,7 +82,7 @@ def _project(source: DataFrame, spec: AnnotationSpec, key: Sequence[str]) -> Dat
 def annotate_exact(variants: DataFrame, source: DataFrame, spec: AnnotationSpec,
                    key: Sequence[str] = ALLELE_KEY) -> DataFrame:
     """JN-10: left join on the exact allele, renamed fields, then post-ops."""
-    ann = _project(source, spec, key)
+    ann = _project(source, spec, key, variants.select(*key).distinct())
     return apply_post(variants.join(ann, list(key), "left"), spec.post)
 
 
@@ -105,8 +110,13 @@ def annotate_overlap(variants: DataFrame, intervals: DataFrame, ops: dict[str, t
 
 def annotate_scores(variants: DataFrame, scores: DataFrame, cols: Sequence[str],
                     key: Sequence[str] = ALLELE_KEY) -> DataFrame:
-    """JN-12: precomputed per-allele scores (left join on the allele key)."""
-    return variants.join(scores.select(*key, *cols).dropDuplicates(list(key)), list(key), "left")
+    """JN-12: precomputed per-allele scores (left join on the allele key).
+
+    The score table is first semi-joined to the cohort's alleles, so its
+    de-duplication and the final join reuse one hash partitioning on the key."""
+    wanted = variants.select(*key).distinct()
+    sc = scores.select(*key, *cols).join(wanted, list(key), "left_semi").dropDuplicates(list(key))
+    return variants.join(sc, list(key), "left")
 
 
 # Population labels of the frequency annotation.
