@@ -14,6 +14,7 @@ checkpointed so both passes see identical partitions.
 from __future__ import annotations
 
 import pickle
+import warnings
 from collections.abc import Sequence
 
 import numpy as np
@@ -100,7 +101,9 @@ def _scan(df: DataFrame, keys: Sequence[str], order: Sequence, fill: Sequence[st
                 k, vals, cnt = state
                 head = pd.DataFrame({**{kk: [kv] for kk, kv in zip(keys, k)},
                                      **{c: [vals.get(c)] for c in fill}})
-                work = pd.concat([head, body[keys + fill]], ignore_index=True)
+                with warnings.catch_warnings():
+                    warnings.simplefilter("ignore", FutureWarning)   # all-NA carry row: dtype comes from body
+                    work = pd.concat([head, body[keys + fill]], ignore_index=True)
             else:
                 cnt = 0
                 work = body[keys + fill].copy()

@@ -32,9 +32,35 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``genoframe`` importable on every executor's Python workers (once per context).
+
+    Pandas UDFs defined in the package are pickled by reference, so executors need
+    the package; it is zipped on the driver and distributed with ``addPyFile`` (the
+    same mechanism as ``--py-files``).
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_genoframe_shipped", False):
+        return
+    import zipfile
+
+    import genoframe
+    root = os.path.dirname(os.path.abspath(genoframe.__file__))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="genoframe-pkg-"), "genoframe.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(zpath)
+    sc._genoframe_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a local one only if unset."""
     sc = spark.sparkContext
