@@ -332,3 +332,12 @@ def e3_rva(spark, d):
     named = res.withColumn("unit", F.concat_ws(":", "pheno", "unit"))
     # ties in p are broken by the (unique) set label, a stable key
     return pr.top_hits(named.withColumn("_row", F.col("unit")), 20)
+
+
+@register("st01c_pca_randomized")
+def st01c(spark, d):
+    """ST-1 on the scalable path: randomized subspace iteration, no n x n matrix."""
+    ids = sorted(r[0] for r in fx.samples(spark, d).select("sample_id").collect())
+    w, V = pc.pca_randomized(spark, cohort_genotypes(spark, d), _tags(spark, d), ids, k=10)
+    return spark.createDataFrame([(s, *[float(V[i, j]) for j in range(V.shape[1])]) for i, s in enumerate(ids)],
+                                 "sample_id string, " + ", ".join(f"PC{j + 1} double" for j in range(V.shape[1])))
