@@ -2,7 +2,7 @@
 
 Every binding is a pure DataFrame expression over the parquet tables, so its
 size grows with the scale factor and Catalyst prunes the columns it does not
-use.  The same definitions are written in SQL in ``genoframe.plans.oracle``.
+use.  The same definitions are written as DuckDB SQL in ``genoframe.plans.sqlfixtures``.
 """
 
 from __future__ import annotations
