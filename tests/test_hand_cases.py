@@ -315,3 +315,26 @@ def test_randomized_pca_matches_dense(spark, sf):
     w, _ = pc.pca_randomized(spark, g, tags, ids, k=5, oversample=len(ids), power=1)
     wd = np.sort(np.linalg.eigvalsh(G))[::-1][:5]
     assert np.abs(w - wd).max() < 1e-8
+
+
+def test_keyed_scan_hot_key_many_partitions(spark, sf):
+    """With one key holding a third of the rows spread over 32 range partitions, the
+    skew-safe fill-down / fill-up / row number equal the plain keyed windows."""
+    from genoframe import fixtures as fx
+    from genoframe.operators import windows as ow
+    from genoframe.operators.scan import _scan, fill_up_scan
+    v = fx.visits(spark, sf)
+    hv = v.select("_row", F.when(F.col("_row") % 3 == 0, F.lit(0)).otherwise(F.col("pid")).cast("bigint").alias("pid"),
+                  "day", F.when(F.col("_row") % 5 == 0, F.col("total")).alias("x"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        got = {r["_row"]: (r["x"], r["k"]) for r in _scan(hv, ["pid"], ["day", "_row"], ["x"], "k").collect()}
+        up = {r["_row"]: r["x"] for r in fill_up_scan(hv, ["pid"], ["day", "_row"], ["x"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    ref = ow.with_row(ow.fill_down(hv, ["pid"], ["day", "_row"], ["x"]), ["day", "_row"], "k", keys=["pid"])
+    want = {r["_row"]: (r["x"], r["k"]) for r in ref.collect()}
+    want_up = {r["_row"]: r["x"] for r in ow.fill_up(hv, ["pid"], ["day", "_row"], ["x"]).collect()}
+    assert got == want
+    assert up == want_up
