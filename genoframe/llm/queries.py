@@ -93,3 +93,45 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = langid.predict(docs, langid.fit(docs))
     return out.select("doc_id", F.coalesce(~langid.learnable(), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_html_extraction")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from genoframe.llm import html_template
+    return html_template.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op5_embedding_near_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from genoframe.llm import multi_index
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+OP6_SQL = f"""
+WITH doc AS (SELECT doc_id, {_DUCK_WORDS.format(t='text')} AS w FROM documents),
+tok AS (SELECT doc_id, i, w[i] AS a, CASE WHEN i > 1 THEN w[i - 1] END AS p FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM doc)),
+u AS (SELECT a, count(*) AS n FROM tok GROUP BY a), ud AS (SELECT doc_id, a, count(*) AS n FROM tok GROUP BY doc_id, a),
+b AS (SELECT p, a, count(*) AS n FROM tok WHERE p IS NOT NULL GROUP BY p, a),
+bd AS (SELECT doc_id, p, a, count(*) AS n FROM tok WHERE p IS NOT NULL GROUP BY doc_id, p, a),
+tot AS (SELECT count(*) AS n FROM tok),
+x AS (SELECT tok.doc_id, tok.p IS NOT NULL AS two, u.n - ud.n AS cu, coalesce(b.n - bd.n, 0) AS cb, up.n - upd.n AS cp,
+             greatest(tot.n - len(doc.w), 1) AS n
+      FROM tok JOIN doc USING (doc_id) CROSS JOIN tot JOIN u ON u.a = tok.a JOIN ud ON ud.doc_id = tok.doc_id AND ud.a = tok.a
+      LEFT JOIN b ON b.p = tok.p AND b.a = tok.a LEFT JOIN bd ON bd.doc_id = tok.doc_id AND bd.p = tok.p AND bd.a = tok.a
+      LEFT JOIN u up ON up.a = tok.p LEFT JOIN ud upd ON upd.doc_id = tok.doc_id AND upd.a = tok.p),
+s AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE NOT (two AND cb > 0) AND (two OR cu = 0)) AS n_backoff,
+             sum(CASE WHEN two AND cb > 0 THEN ln(cb) - ln(cp) WHEN cu > 0 THEN ln(cu) - ln(n) + CASE WHEN two THEN ln(0.4) ELSE 0 END
+                      ELSE -ln(n) + ln(0.4) * CASE WHEN two THEN 2 ELSE 1 END END) AS t
+      FROM x GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_backoff, 0) AS BIGINT) AS n_backoff,
+       round(coalesce(t, 0), 4) AS log_score, round(t / n_words, 4) AS mean_log_score
+FROM doc LEFT JOIN s USING (doc_id)
+"""
+
+
+@query("op6_lm_scoring", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from genoframe.llm import ngram_lm
+    out = ngram_lm.score(table(spark, sf_dir, "documents"), order=2)
+    return out.select("doc_id", "n_words", "n_backoff", F.round("log_score", 4).alias("log_score"),
+                      F.round("mean_log_score", 4).alias("mean_log_score"))
