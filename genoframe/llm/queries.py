@@ -135,3 +135,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ngram_lm.score(table(spark, sf_dir, "documents"), order=2)
     return out.select("doc_id", "n_words", "n_backoff", F.round("log_score", 4).alias("log_score"),
                       F.round("mean_log_score", 4).alias("mean_log_score"))
+
+
+@query("op2_substring_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from genoframe.llm import compact_windows
+    return compact_windows.near_duplicate_passages(table(spark, sf_dir, "documents"))
