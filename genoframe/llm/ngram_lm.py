@@ -73,7 +73,7 @@ def score(docs: DataFrame, order: int = 2, alpha: float = ALPHA, leave_out: bool
     spark = docs.sparkSession
     base = id_and_text(docs, id_col, text_col)
     total = text_bytes(base)
-    n_chunks = max(1, math.ceil(total / CHUNK_TEXT))
+    n_chunks = buckets_for(spark, total, CHUNK_TEXT)
     n_buckets = buckets_for(spark, total, BUCKET_TEXT)
     dealt = base.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(n_chunks))).select("chunk", "doc_id", "text")
 

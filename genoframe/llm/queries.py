@@ -33,7 +33,7 @@ def all_queries() -> tuple[dict, dict[str, str]]:
 @query("op1_suffix_array_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from genoframe.llm import suffix_dedup
-    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_bytes=False)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 

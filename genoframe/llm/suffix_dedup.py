@@ -1,12 +1,13 @@
 """Exact substring removal with a logarithmic family of suffix arrays.
 
 Byte strings of ``length`` bytes that also start in a document with a smaller doc_id are
-removed. Every window of ``length`` bytes is sent to the bucket of its minimizer (the
-least hash of its k-byte strings), so equal windows meet; neighbouring windows with one
-minimizer travel as one piece of text. In a bucket, documents arrive in batches in order of
-doc_id: a batch gets a suffix array (its sorted distinct windows), is scanned against the existing
-levels and its own smaller documents, and becomes a level; levels of equal size are merged,
-so there are never more than a logarithm of them.
+removed. Texts are dealt into chunks. Every window of ``length`` bytes is filed under its
+minimizer (the least hash of its k-byte strings), so equal windows meet; neighbouring windows with one
+minimizer travel as one piece of text. First the chunks' distinct minimizers alone are
+counted, and only pieces whose minimizer stands in several documents go on to the buckets. In
+a bucket, documents arrive in batches in order of doc_id: a batch gets a suffix array (its sorted
+distinct windows), is scanned against the existing levels and its own smaller documents, and
+becomes a level; levels of equal size are merged, so there are never more than a logarithm of them.
 """
 
 from __future__ import annotations
@@ -20,13 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genoframe.llm.frames import buckets_for, id_and_text, text_bytes
-from genoframe.llm.textbuf import chunks, mix, span_hashes
+from genoframe.llm.textbuf import chunks, mix, span_hashes, string_parts
 
 LENGTH = 50
-KMER = 12
-#: Text bytes of one bucket and of one block of a map task.
-BUCKET_BYTES = 4 << 20
-BLOCK_BYTES = 6 << 20
+KMER = 24
+#: Text bytes of one chunk, and of the part of it that is hashed at a time.
+CHUNK_BYTES = 4 << 20
+PART_BYTES = 512 << 10
 #: Windows of one batch of the index family.
 BATCH = 1 << 16
 
@@ -47,7 +48,9 @@ def minimizers(buf: np.ndarray, length: int, demoted: np.ndarray | None = None)
     x = _words8(buf, length)
     n = len(buf) + length - KMER
     with np.errstate(over="ignore"):
-        h = x[:n] * np.uint64(0x9E3779B97F4A7C15) + (x[KMER - 8: n + KMER - 8] >> np.uint64(7)) * np.uint64(0xC2B2AE3D27D4EB4F)
+        h = x[:n] * np.uint64(0x9E3779B97F4A7C15)
+        for at in range(8, KMER, 8):
+            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F) + x[at: n + at] * np.uint64(0x9E3779B97F4A7C15 + 2 * at)
         h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
     h >>= np.uint64(1)
@@ -111,72 +114,64 @@ def _unblob(blob: bytes):
     return out, np.frombuffer(raw, dtype=np.uint8, offset=at)
 
 
-class _Block:
-    """Pieces of some chunks of a map task, pre-aggregated before they are sent."""
+def _edges(n_buckets: int) -> np.ndarray:
+    return np.array([(k << 64) // n_buckets for k in range(1, n_buckets)], dtype=np.uint64)
 
-    def __init__(self, length: int):
-        self.length, self.size = length, 0
-        self.parts: list[tuple] = []
 
-    def add(self, ids: np.ndarray, buf: np.ndarray, off: np.ndarray, demoted) -> None:
-        n, length = len(buf), self.length
+def runs_of_windows(ids: np.ndarray, buf: np.ndarray, off: np.ndarray, length: int, demoted, content: bool):
+    """Runs of neighbouring windows with one minimizer: ``start, end, key, doc, position`` and, if wanted, a content hash.
+
+    Texts are looked at in parts of about ``PART_BYTES``; ``end`` is past the last byte of the last window.
+    """
+    out, i = [], 0
+    while i < len(off) - 1:
+        j = max(int(np.searchsorted(off, off[i] + PART_BYTES, side="right")) - 1, i + 1)
+        b, o = buf[off[i]: off[j]], off[i: j + 1] - off[i]
+        n = len(b)
         if n >= length:
-            count = np.maximum(np.diff(off) - length + 1, 0)
-            valid = np.zeros(n + 1, dtype=np.int8)
-            np.add.at(valid, off[:-1][count > 0], 1)
-            np.add.at(valid, (off[:-1] + count)[count > 0], -1)
-            valid = np.cumsum(valid)[:-1].astype(bool)
-            key = minimizers(buf, length, demoted)
+            count = np.maximum(np.diff(o) - length + 1, 0)
+            step = np.zeros(n + 1, dtype=np.int8)
+            np.add.at(step, o[:-1][count > 0], 1)
+            np.add.at(step, (o[:-1] + count)[count > 0], -1)
+            valid = np.cumsum(step, dtype=np.int8)[:-1].astype(bool)
+            key = minimizers(b, length, demoted)
             same = np.zeros(n + 1, dtype=bool)
             same[1:n] = valid[1:] & valid[:-1] & (key[1:] == key[:-1])
             start = np.flatnonzero(valid & ~same[:-1])
-            end = np.flatnonzero(valid & ~same[1:]) + length      # past the last byte of the last window
-            row = np.searchsorted(off, start, side="right") - 1
-            self.parts.append((buf, start, end, mix(key[start]), span_hashes(buf, start, end), ids[row], start - off[row]))
-        self.size += n
-
-    def flush(self, n_buckets: int):
-        """``(bucket, blob)`` rows and the spans that this block alone decides."""
-        if not self.parts:
-            return [], (np.zeros(0, np.int64),) * 3
-        base = np.cumsum([0, *[len(p[0]) for p in self.parts]])
-        buf = np.concatenate([p[0] for p in self.parts])
-        start = np.concatenate([p[1] + b for p, b in zip(self.parts, base)])
-        end = np.concatenate([p[2] + b for p, b in zip(self.parts, base)])
-        key, content, doc, pos = (np.concatenate([p[k] for p in self.parts]) for k in (3, 4, 5, 6))
-        self.parts, self.size = [], 0
-        order = np.lexsort((pos, doc, content, key))
-        start, end, key, content, doc, pos = (a[order] for a in (start, end, key, content, doc, pos))
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1]) | ((end - start)[1:] != (end - start)[:-1])
-        piece = np.cumsum(new) - 1
-        least = doc[new]                                          # rows are sorted by doc inside a piece
-        late = doc > least[piece]                                 # also stands in a smaller document of this block
-        spans = (doc[late], pos[late], (pos + end - start)[late])
-        own = ~late
-        bucket = (key[new] % np.uint64(n_buckets)).astype(np.int64)
-        by = np.argsort(bucket, kind="stable")
-        rank = np.empty(len(by), dtype=np.int64)
-        rank[by] = np.arange(len(by))
-        # text of the pieces in bucket order
-        p_start, p_len = start[new][by], (end - start)[new][by]
-        p_end = np.cumsum(p_len)
-        take = np.repeat(p_start - (p_end - p_len), p_len) + np.arange(int(p_end[-1]))
-        text = buf[take]
-        place_piece, place_pos = rank[piece[own]], pos[own]
-        o = np.argsort(place_piece, kind="stable")
-        place_piece, place_pos = place_piece[o], place_pos[o]
-        edge = np.flatnonzero(np.concatenate([[True], bucket[by][1:] != bucket[by][:-1], [True]]))
-        p_at = np.concatenate([[0], p_end])
-        pl_at = np.searchsorted(place_piece, edge)
-        codec = zstandard.ZstdCompressor(level=3)
-        kk, dd = (key[new][by] >> np.uint64(32)).astype(np.uint32), least[by]
-        out = []
-        for k in range(len(edge) - 1):
-            a, b, x, y = edge[k], edge[k + 1], pl_at[k], pl_at[k + 1]
-            out.append((int(bucket[by[a]]), _blob([p_len[a:b].astype(np.uint32), kk[a:b], dd[a:b], (place_piece[x:y] - a).astype(np.uint32),
-                                                   place_pos[x:y].astype(np.uint32)], text[p_at[a]: p_at[b]].tobytes(), codec)))
-        return out, spans
+            end = np.flatnonzero(valid & ~same[1:]) + length
+            row = np.searchsorted(o, start, side="right") - 1
+            out.append((start + off[i], end + off[i], mix(key[start]), ids[i + row], start - o[row],
+                        span_hashes(b, start, end) if content else start))
+        i = j
+    if not out:
+        none = np.zeros(0, np.int64)
+        return none, none, none.astype(np.uint64), none, none, none.astype(np.uint64)
+    return tuple(np.concatenate(p) for p in zip(*out))
+
+
+def pack_pieces(buf, start, end, key, doc, pos, content, edges: np.ndarray):
+    """``(bucket, blob)`` rows of a chunk's pieces, equal ones once, and the spans that the chunk alone decides."""
+    order = np.lexsort((pos, doc, content, key))
+    start, end, key, content, doc, pos = (a[order] for a in (start, end, key, content, doc, pos))
+    size = end - start
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1]) | (size[1:] != size[:-1])
+    piece = np.cumsum(new) - 1
+    least = doc[new]                                          # rows are sorted by doc inside a piece
+    late = doc > least[piece]                                 # also stands in a smaller document of this chunk
+    spans = (doc[late], pos[late], (pos + size)[late])
+    # pieces are in order of key, so those of a bucket follow one another
+    p_start, p_end, p_key = start[new], end[new], key[new]
+    at = np.concatenate([[0], np.searchsorted(p_key, edges), [len(p_key)]])
+    own_piece, own_pos = piece[~late], pos[~late]
+    codec, out = zstandard.ZstdCompressor(level=3), []
+    for b in np.flatnonzero(np.diff(at)).tolist():
+        lo, hi = at[b], at[b + 1]
+        x, y = np.searchsorted(own_piece, [lo, hi])
+        text = b"".join([buf[i:j].tobytes() for i, j in zip(p_start[lo:hi].tolist(), p_end[lo:hi].tolist())])
+        out.append((b, _blob([(p_end - p_start)[lo:hi].astype(np.uint32), (p_key[lo:hi] & np.uint64(0xFFFFFFFF)).astype(np.uint32), least[lo:hi],
+                              (own_piece[x:y] - lo).astype(np.uint32), own_pos[x:y].astype(np.uint32)], text, codec)))
+    return out, spans
 
 
 class SuffixLevels:
@@ -283,35 +278,77 @@ def bucket_spans(blobs: list[bytes], length: int) -> tuple[np.ndarray, np.ndarra
     return tuple(np.concatenate([o[k] for o in out]) for k in range(3))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, lo, hi``: byte ranges covered by strings of ``length`` bytes that also start in a
-    document with a smaller doc_id. Ranges may overlap and are not merged. Rows without a doc_id are left out."""
+def _dealt(docs: DataFrame, n_chunks: int) -> DataFrame:
+    return docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(n_chunks))).select("chunk", "doc_id", "text")
+
+
+def repeated_spans(dealt: DataFrame, n_chunks: int, length: int = LENGTH) -> DataFrame:
+    """``chunk, doc_id, span``: byte ranges ``(lo << 32) + hi`` covered by strings of ``length`` bytes that also
+    start in a document with a smaller doc_id. Ranges may overlap and are not merged. ``dealt`` has
+    ``chunk, doc_id, text``; rows without a doc_id take no part."""
     if length < KMER + 8:
         raise ValueError(f"length must be at least {KMER + 8}")
-    spark = docs.sparkSession
-    base = id_and_text(docs, id_col, text_col).where("doc_id is not null")
-    n_buckets = buckets_for(spark, text_bytes(base), BUCKET_BYTES)
-    demoted = common_strings(base)
-
-    def split(batches):
-        block = _Block(length)
-
-        def rows():
-            pieces, spans = block.flush(n_buckets)
-            for at in range(0, len(pieces), 64):
-                some = pieces[at: at + 64]
-                yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in some], pa.int64()), pa.array([x for _, x in some], pa.binary())], ["bucket", "blob"])
+    n_buckets = n_chunks
+    demoted = common_strings(dealt)
+
+    def texts(tab):
+        ids = tab.column("doc_id")
+        if ids.null_count:
+            tab = tab.filter(ids.is_valid())
+        buf, off = string_parts(tab.column("text"))
+        return tab.column("doc_id").to_numpy(), buf, off
+
+    def ask(tab: pa.Table) -> pa.Table:
+        """The chunk's distinct minimizers, and whether two of its documents share them."""
+        chunk = tab.column("chunk")[0].as_py()
+        _, _, key, doc, _, _ = runs_of_windows(*texts(tab), length, demoted, content=False)
+        o = np.lexsort((doc, key))
+        key, doc = key[o], doc[o]
+        edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else np.zeros(1, int)
+        many = (doc[edge[:-1]] != doc[edge[1:] - 1]) if len(key) else np.zeros(0, bool)
+        key = key[edge[:-1]] if len(key) else key
+        at = np.concatenate([[0], np.searchsorted(key, _edges(n_buckets)), [len(key)]])
+        some = np.flatnonzero(np.diff(at)).tolist()
+        codec = zstandard.ZstdCompressor(level=1)
+        return pa.table({"bucket": pa.array(some, pa.int64()), "chunk": pa.array([chunk] * len(some), pa.int64()), "n": pa.array(np.diff(at)[some], pa.int64()),
+                         "blob": pa.array([codec.compress(np.diff(key[at[b]: at[b + 1]], prepend=np.uint64(0)).tobytes() + many[at[b]: at[b + 1]].tobytes())
+                                           for b in some], pa.binary())})
+
+    def count(tab: pa.Table) -> pa.Table:
+        """Which of the asked minimizers stand in several documents."""
+        sizes, keys, many = tab.column("n").to_pylist(), [], []
+        for n, blob in zip(sizes, tab.column("blob").to_pylist()):
+            raw = zstandard.ZstdDecompressor().decompress(blob)
+            keys.append(np.cumsum(np.frombuffer(raw, np.uint64, n), dtype=np.uint64))
+            many.append(np.frombuffer(raw, bool, n, 8 * n))
+        keys, many = np.concatenate(keys), np.concatenate(many)
+        o = np.argsort(keys, kind="stable")
+        edge = np.flatnonzero(np.concatenate([[True], keys[o][1:] != keys[o][:-1], [True]]))
+        times = np.diff(edge)
+        shared = np.empty(len(keys), dtype=bool)
+        shared[o] = np.repeat((times > 1) | np.logical_or.reduceat(many[o], edge[:-1]), times)
+        at = np.cumsum([0, *sizes])
+        codec = zstandard.ZstdCompressor(level=1)
+        return pa.table({"chunk": tab.column("chunk"), "bucket": tab.column("bucket"), "n": tab.column("n"),
+                         "blob": pa.array([codec.compress(np.packbits(shared[x:y]).tobytes()) for x, y in zip(at[:-1], at[1:])], pa.binary())})
+
+    def send(tab: pa.Table, told: pa.Table) -> pa.Table:
+        """Pieces of the minimizers that several documents share."""
+        rows = {"bucket": [], "blob": []}
+        if tab.num_rows and told.num_rows:
+            ids, buf, off = texts(tab)
+            start, end, key, doc, pos, content = runs_of_windows(ids, buf, off, length, demoted, content=True)
+            told = sorted(zip(told.column("bucket").to_pylist(), told.column("n").to_pylist(), told.column("blob").to_pylist()))
+            shared = np.concatenate([np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8), count=n) for _, n, b in told]).astype(bool)
+            live = shared[np.unique(key, return_inverse=True)[1]]
+            pieces, spans = pack_pieces(buf, *(a[live] for a in (start, end, key, doc, pos, content)), _edges(n_buckets))
+            rows["bucket"] += [b for b, _ in pieces]
+            rows["blob"] += [x for _, x in pieces]
             if len(spans[0]):
-                # decided here: a blob of ranges, addressed to any bucket
-                at = int(spans[0][0] % n_buckets)
-                raw = zstandard.ZstdCompressor(level=3).compress(b"".join(s.astype(np.int64).tobytes() for s in spans))
-                yield pa.RecordBatch.from_arrays([pa.array([-1 - at], pa.int64()), pa.array([raw], pa.binary())], ["bucket", "blob"])
-
-        for part, chunk in chunks(batches):
-            block.add(part.column(0).to_numpy(zero_copy_only=False), chunk.buf, chunk.off, demoted)
-            if block.size >= BLOCK_BYTES:
-                yield from rows()
-        yield from rows()
+                # decided here: ranges, addressed to any bucket
+                rows["bucket"].append(-1 - int(spans[0][0] % n_buckets))
+                rows["blob"].append(zstandard.ZstdCompressor(level=3).compress(b"".join(a.astype(np.int64).tobytes() for a in spans)))
+        return pa.table({"bucket": pa.array(rows["bucket"], pa.int64()), "blob": pa.array(rows["blob"], pa.binary())})
 
     def decide(key, tab):
         blobs = tab.column("blob").to_pylist()
@@ -320,10 +357,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
             doc, lo, hi = np.concatenate(got, axis=1)
         else:
             doc, lo, hi = bucket_spans(blobs, length)
-        return pa.table({"doc_id": pa.array(doc, pa.int64()), "lo": pa.array(lo, pa.int64()), "hi": pa.array(hi, pa.int64())})
+        return pa.table({"doc_id": pa.array(doc, pa.int64()), "span": pa.array((lo << 32) + hi, pa.int64())})
 
-    pieces = base.mapInArrow(split, "bucket bigint, blob binary")
-    return pieces.groupBy("bucket").applyInArrow(decide, "doc_id bigint, lo bigint, hi bigint")
+    asked = dealt.groupBy("chunk").applyInArrow(ask, "bucket bigint, chunk bigint, n bigint, blob binary")
+    told = asked.groupBy("bucket").applyInArrow(count, "chunk bigint, bucket bigint, n bigint, blob binary")
+    pieces = dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(send, "bucket bigint, blob binary")
+    spans = pieces.groupBy("bucket").applyInArrow(decide, "doc_id bigint, span bigint")
+    return spans.select(F.pmod(F.xxhash64("doc_id"), F.lit(n_chunks)).alias("chunk"), "doc_id", "span")
 
 
 def _merged(spans) -> list[tuple[int, int]]:
@@ -336,42 +376,48 @@ def _merged(spans) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept binary, kept_sha256, spans array<struct<lo,hi>>`` per row.
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = True) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans array<struct<lo,hi>>`` per row, and ``kept binary`` with ``keep_bytes``.
 
     Texts are UTF-8 bytes; ``kept`` is what remains, concatenated. A null or empty text has no
     bytes and keeps none. Strings are judged on the input, overlaps count, and matches never
-    cross texts. Repeated rows with one doc_id are one document to the rule (a string does not
-    repeat itself) and each give a row, with the ranges found for that doc_id; a row without a
-    doc_id is kept whole. Other columns are not read.
+    cross texts. doc_id identifies a text: rows that repeat one are one document to the rule (a string
+    does not repeat itself) and each give a row, with the ranges found for that doc_id; a row
+    without a doc_id is kept whole. Other columns are not read.
     """
     base = id_and_text(docs, id_col, text_col)
-    spans = (repeated_spans(docs, length, id_col, text_col)
-             .select(F.col("doc_id").alias("k"), (F.col("lo") * F.lit(1 << 32) + F.col("hi")).alias("span")))
-    per_doc = spans.groupBy("k").agg(F.collect_list("span").alias("spans"))
-    schema = ("doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_sha256 string, "
-              "spans array<struct<lo:bigint,hi:bigint>>")
-
-    def cut(batches):
-        for rb in batches:
-            for at in range(0, rb.num_rows, 512):
-                part = rb.slice(at, 512)
-                rows = []
-                for doc, text, got in zip(*(part.column(k).to_pylist() for k in range(3))):
-                    raw = (text or "").encode()
-                    runs = _merged((s >> 32, min(s & 0xFFFFFFFF, len(raw))) for s in got or () if (s >> 32) < len(raw))
-                    kept, last = [], 0
-                    for lo, hi in runs:
-                        kept.append(raw[last:lo])
-                        last = hi
-                    kept.append(raw[last:])
-                    left = b"".join(kept)
-                    rows.append({"doc_id": doc, "n_bytes": len(raw), "n_removed": len(raw) - len(left), "n_spans": len(runs), "kept": left,
-                                 "kept_sha256": hashlib.sha256(left).hexdigest(), "spans": [{"lo": a, "hi": b} for a, b in runs]})
-                yield pa.RecordBatch.from_pylist(rows, schema=_KEPT)
-
-    joined = base.join(per_doc, base["doc_id"] == per_doc["k"], "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(cut, schema)
+    n_chunks = buckets_for(docs.sparkSession, text_bytes(base), CHUNK_BYTES)
+    dealt = _dealt(base, n_chunks)
+    spans = repeated_spans(dealt, n_chunks, length)
+    kept_type = "kept binary, " if keep_bytes else ""
+    names = [n for n in _KEPT.names if keep_bytes or n != "kept"]
+    schema = pa.schema([_KEPT.field(n) for n in names])
+
+    def cut(tab: pa.Table, found: pa.Table) -> pa.Table:
+        by_doc: dict[int, list[int]] = {}
+        doc, span = found.column("doc_id").to_numpy(), found.column("span").to_numpy()
+        o = np.argsort(doc, kind="stable")
+        edge = np.flatnonzero(np.concatenate([[True], doc[o][1:] != doc[o][:-1], [True]])) if len(o) else np.zeros(1, int)
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            by_doc[int(doc[o[a]])] = np.unique(span[o[a:b]]).tolist()
+        rows = {n: [] for n in names}
+        for d, text in zip(tab.column("doc_id").to_pylist(), tab.column("text").to_pylist()):
+            raw = (text or "").encode()
+            runs = _merged((x >> 32, min(x & 0xFFFFFFFF, len(raw))) for x in by_doc.get(d, ()) if (x >> 32) < len(raw))
+            kept, last = [], 0
+            for lo, hi in runs:
+                kept.append(raw[last:lo])
+                last = hi
+            kept.append(raw[last:])
+            left = b"".join(kept)
+            one = {"doc_id": d, "n_bytes": len(raw), "n_removed": len(raw) - len(left), "n_spans": len(runs), "kept": left,
+                   "kept_sha256": hashlib.sha256(left).hexdigest(), "spans": [{"lo": a, "hi": b} for a, b in runs]}
+            for n in names:
+                rows[n].append(one[n])
+        return pa.table(rows, schema=schema)
+
+    return dealt.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(
+        cut, f"doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, {kept_type}kept_sha256 string, spans array<struct<lo:bigint,hi:bigint>>")
 
 
 _KEPT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary()),
