@@ -15,6 +15,7 @@ from genoframe.functions.common import col_of
 DAYS_PER_MONTH = 30.4375
 DAYS_PER_YEAR = 365.25
 SERIAL_ORIGIN = "1899-12-30"
+MAX_SERIAL = 2_958_465
 
 
 def parse_dmy(c) -> Column:
@@ -32,7 +33,9 @@ def parse_date(c, fmt: str = "d/M/yyyy") -> Column:
 def serial_to_date(c) -> Column:
     """Spreadsheet serial day number -> DATE (origin 1899-12-30)."""
     n = col_of(c).try_cast("double")
-    return F.when(n.isNotNull(), F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), F.floor(n).cast("int")))
+    # NaN and numbers beyond any spreadsheet's calendar (year 9999) are no dates
+    ok = n.isNotNull() & ~F.isnan(n) & (n >= -MAX_SERIAL) & (n <= MAX_SERIAL)
+    return F.when(ok, F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), F.floor(F.when(ok, n)).cast("int")))
 
 
 def parse_dmy_or_serial(c) -> Column:

@@ -9,9 +9,9 @@ from genoframe.functions.common import col_of
 
 
 def neg_log10(p) -> Column:
-    """FN-17: -log10(p); p <= 0 -> NULL."""
+    """FN-17: -log10(p); p = 0 (an underflowed p) -> Infinity, p < 0 -> NULL."""
     x = col_of(p)
-    return -F.log10(F.when(x > 0, x))
+    return F.when(x == 0, F.lit(float("inf"))).otherwise(-F.log10(F.when(x > 0, x)))
 
 
 def log2(x) -> Column:

@@ -10,26 +10,20 @@ from pyspark.sql import functions as F
 from genoframe.operators.windows import fill_downup
 
 # Dimension tables (samples, id lists, small lookups) are broadcast only below
-# these bounds; above them the planner's shuffle join (with AQE) is kept.
-BROADCAST_MAX_ROWS = 2_000_000
+# this bound; above it the planner's shuffle join (with AQE) is kept.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast hint behind an explicit size check.
 
     The optimizer's size estimate (an upper bound for filters/projections over
-    file scans) decides without running a job; only when the estimate is above
-    the bound is the row count taken (one cheap, limited action)."""
+    file scans) decides without running a job."""
     try:
         est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
     except Exception:   # noqa: BLE001 - estimate unavailable
         est = None
-    if est is not None and est <= max_bytes:
-        return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if est is not None and est <= max_bytes else df
 
 
 def _on(a: DataFrame, b: DataFrame, on, null_safe: bool) -> Column:

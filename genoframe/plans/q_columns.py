@@ -214,11 +214,11 @@ def prj15(spark, d):
 
 @register("prj16_rename_samples", f"""
 , m AS (SELECT printf('S%03d', c_custkey) AS old_id, {SQL_NORMALIZE_IDS.format(x='raw_id')} AS new_id
-        FROM raw_ids WHERE c_custkey < 100)
+        FROM raw_ids)
 SELECT g.v, coalesce(m.new_id, printf('S%03d', g.s)) AS sample_id, g.dosage
 FROM genotypes g LEFT JOIN m ON printf('S%03d', g.s) = m.old_id""", ["raw_ids", "genotypes"])
 def prj16(spark, d):
-    r = fx.raw_ids(spark, d).where(F.col("c_custkey") < 100)
+    r = fx.raw_ids(spark, d)
     mapping = r.select(F.format_string("S%03d", "c_custkey").alias("raw_id"),
                        fi.normalize_sample_ids("raw_id").alias("sample_id"))
     g = fx.genotypes(spark, d).select("v", F.format_string("S%03d", "s").alias("sample_id"), "dosage")
@@ -780,14 +780,14 @@ def fn27(spark, d):
     width = 64
     v = fx.variants(spark, d)
     bins = v.select("chrom", F.floor((F.col("pos") - 1) / width).alias("bin"))
-    bins = bins.unionByName(bins.select("chrom", (F.col("bin") - 1).alias("bin"))).distinct()
+    bins = bins.select("chrom", F.explode(F.array(F.col("bin") - 1, "bin", F.col("bin") + 1)).alias("bin")).where("bin >= 0").distinct()
     seq = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.element_at(
         F.array(*[F.lit(b) for b in "ACGT"]), ((F.col("bin") * 7 + F.floor(i / 3)) % 4 + 1).cast("int"))), "")
     win = bins.select("chrom", F.col("bin").cast("bigint"), seq.alias("seq"))
     start = F.floor((F.col("pos") - 1) / width) * width + 1
     vb = v.withColumn("bin", F.floor((F.col("pos") - 1) / width).cast("bigint"))
-    ind = (vb.join(win, ["chrom", "bin"])
-           .select("chrom", "pos", F.substring("seq", (F.col("pos") - start + 1).cast("int"), 2).alias("ref"))
-           .where(F.length("ref") == 2)
+    after = win.select("chrom", (F.col("bin") - 1).alias("bin"), F.col("seq").alias("next"))
+    ind = (vb.join(win, ["chrom", "bin"]).join(after, ["chrom", "bin"])
+           .select("chrom", "pos", F.substring(F.concat("seq", "next"), (F.col("pos") - start + 1).cast("int"), 2).alias("ref"))
            .select("chrom", "pos", "ref", F.substring("ref", 1, 1).alias("alt")))
     return left_align(ind, win, width)

@@ -200,12 +200,13 @@ def set02(spark, d):
 
 
 @register("set05_union_labelled", """
-SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'ELA' ELSE 'CONTROL' END AS grupo FROM orders
-WHERE o_orderstatus IN ('F', 'O')""")
+SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'ELA' WHEN 'O' THEN 'CONTROL' ELSE 'OTRO' END AS grupo FROM orders
+WHERE o_orderstatus IN ('F', 'O', 'P')""")
 def set05(spark, d):
     o = fx.table(spark, d, "orders")
     parts = {"ELA": o.where(F.col("o_orderstatus") == "F").select("o_orderkey"),
-             "CONTROL": o.where(F.col("o_orderstatus") == "O").select("o_orderkey")}
+             "CONTROL": o.where(F.col("o_orderstatus") == "O").select("o_orderkey"),
+             "OTRO": o.where(F.col("o_orderstatus") == "P").select("o_orderkey")}
     return ors.union_labelled(parts, "grupo")
 
 

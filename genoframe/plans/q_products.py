@@ -166,15 +166,15 @@ def dp4(spark, d):
 
 
 def chrom_eigen(spark, d):
-    """A per-component 'eigenvalue' list derived from the cohort: allele count on contigs 1..10."""
+    """A per-component 'eigenvalue' list derived from the cohort: allele count per contig."""
     g = fx.genotypes(spark, d).join(fx.variants(spark, d).select("v", "chrom"), "v")
-    g = g.withColumn("pc", chrom_ordinal("chrom").cast("int")).where(F.col("pc") <= 10)
+    g = g.withColumn("pc", chrom_ordinal("chrom").cast("int"))
     return g.groupBy("pc").agg((F.sum("dosage") / 100.0).alias("eigenval"))
 
 
 SQL_EIGEN = """
 , eig AS (SELECT """ + CHROM_NUM + """ AS pc, sum(g.dosage) / 100.0 AS eigenval
-          FROM genotypes g JOIN variants vv ON g.v = vv.v GROUP BY 1 HAVING """ + CHROM_NUM + """ <= 10)"""
+          FROM genotypes g JOIN variants vv ON g.v = vv.v GROUP BY 1)"""
 
 
 @register("dp5_scree_shares", SQL_EIGEN + """
@@ -209,7 +209,7 @@ SELECT pc, sum(eigenval) OVER (ORDER BY pc ROWS BETWEEN UNBOUNDED PRECEDING AND
 def wn11(spark, d):
     from genoframe.operators.windows import running_sum
     from pyspark.sql import Window
-    e = running_sum(chrom_eigen(spark, d), "eigenval", ["pc"], "run")      # <= 10 rows
+    e = running_sum(chrom_eigen(spark, d), "eigenval", ["pc"], "run")      # one row per contig
     e = e.withColumn("tot", F.sum("eigenval").over(Window.partitionBy()))
     return e.select("pc", (F.col("run") < 0.5 * F.col("tot")).alias("below_half"))
 

@@ -15,7 +15,7 @@ from genoframe.plans import curvefit as cf
 from genoframe.plans import pca as pc
 from genoframe.plans import products as pr
 from genoframe.plans import settest as sk
-from genoframe.plans.phenotypes import CATEGORICAL, make_psam
+from genoframe.plans.phenotypes import PSAM_CODES, make_psam
 from genoframe.plans.q_columns import r6, zscored_pcs, SQL_PCS
 from genoframe.plans.registry import register
 
@@ -30,7 +30,7 @@ def cohort_genotypes(spark, d, rare: bool = False):
 def pheno_long(spark, d):
     """Long phenotypes: categorical traits recoded 1/2 -> 0/1, plus a continuous trait QT."""
     ps = make_psam(fx.pheno(spark, d), continuous={})
-    binary = [c for c in ps.columns if c in CATEGORICAL and c != "SEX"]
+    binary = [c for c in ps.columns if c in PSAM_CODES]
     ps = ps.select("sample_id", *[binary01(c).cast("double").alias(c) for c in binary])
     qt = fx.pheno(spark, d).select("sample_id", F.round(F.col("quant") / 1000.0, 6).alias("QT"))
     wide = ps.join(qt, "sample_id")

@@ -20,9 +20,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    n = shuffle_partitions or int(os.environ.get("BENCH_CPUS", "8"))
-    b = (b.config("spark.sql.shuffle.partitions", str(n))
-         .config("spark.sql.adaptive.enabled", "true")
+    if shuffle_partitions:                  # else the cluster's own value holds
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    b = (b.config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
@@ -66,7 +66,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        # Only reached in local runs (tests, bench): a cluster names a shared folder.
+        # A cluster must name a shared folder: executors do not see each other's disks.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="genoframe-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,12 +67,14 @@ def read_sheet_export(spark: SparkSession, path: str, skip: int = 0, names: list
     if skip:
         cut = [r[0] for r in lines.orderBy("_row").limit(skip).select("_row").collect()]
         lines = lines.where(~F.col("_row").isin(cut))
-    fields = F.split("value", sep)
     if names is None:
         first = lines.orderBy("_row").first()
-        names = first["value"].split(sep)
+        names = next(csv.reader([first["value"]], delimiter=sep))
         lines = lines.where(F.col("_row") != first["_row"])
-    return lines.select(*[F.get(fields, i).alias(n) for i, n in enumerate(names)], "_row")
+    # quoted fields may hold the separator
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    got = F.from_csv("value", schema, {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    return lines.select(got.alias("r"), "_row").select(*[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)], "_row")
 
 
 def read_ws(spark: SparkSession, path, names: list[str]) -> DataFrame:

@@ -90,14 +90,28 @@ def with_sample_from_path(df: DataFrame, out: str = "sample_id") -> DataFrame:
 
 
 def read_sites(spark: SparkSession, path, fields: list[str], names: list[str]) -> DataFrame:
-    """SRC-11: sites-only VCF with INFO/ID/FILTER fields projected and renamed."""
-    v = _fields(_lines(spark, path))
+    """SRC-11: sites-only VCF with INFO/ID/FILTER fields projected and renamed.
+
+    A record gives one row per ALT allele; a field that the header declares with one value
+    per allele (Number=A) or per allele and reference (Number=R) gives that allele's own value.
+    """
+    per = info_numbers(spark, path, fields)
+    v = _fields(_lines(spark, path)).select("*", F.posexplode(F.split("alt", ",")).alias("_i", "_alt"))
     cols = []
     for f, n in zip(fields, names):
         src = {"ID": F.col("id"), "FILTER": F.col("filter"), "QUAL": F.col("qual")}.get(f, F.col("info")[f])
+        if per.get(f) in ("A", "R"):
+            src = F.get(F.split(src, ","), F.col("_i") + (1 if per[f] == "R" else 0))
         cols.append(src.alias(n))
-    # one row per ALT allele of a multi-allelic site record
-    return v.select("chrom", "pos", "ref", F.explode(F.split("alt", ",")).alias("alt"), *cols)
+    return v.select("chrom", "pos", "ref", F.col("_alt").alias("alt"), *cols)
+
+
+def info_numbers(spark: SparkSession, path, fields: list[str]) -> dict[str, str]:
+    """Number of the given INFO fields, from the header lines (at most one value per field is collected)."""
+    head = spark.read.text(path).where(F.col("value").startswith("##INFO=<"))
+    ident, number = (F.regexp_extract("value", rf"[<,]{k}=([^,>]+)", 1) for k in ("ID", "Number"))
+    rows = head.select(ident.alias("f"), number.alias("n")).where(F.col("f").isin(list(fields))).groupBy("f").agg(F.max("n").alias("n")).collect()
+    return {r["f"]: r["n"] for r in rows}
 
 
 def _gt_text(d):

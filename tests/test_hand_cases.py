@@ -338,3 +338,45 @@ def test_keyed_scan_hot_key_many_partitions(spark, sf):
     want_up = {r["_row"]: r["x"] for r in ow.fill_up(hv, ["pid"], ["day", "_row"], ["x"]).collect()}
     assert got == want
     assert up == want_up
+
+
+def test_left_align_crosses_windows_and_survives_missing_reference(spark):
+    from genoframe.operators.normalize import left_align
+    seq = "G" + "A" * 29                      # a homopolymer over five windows of 6
+    w = spark.createDataFrame([("1", i, seq[6 * i: 6 * i + 6]) for i in range(5)], "chrom string, bin bigint, seq string")
+    v = spark.createDataFrame([("1", 29, "AA", "A"), ("2", 9, "AC", "A")], "chrom string, pos int, ref string, alt string")
+    got = sorted(rows(left_align(v, w, 6), "chrom", "pos", "ref", "alt", "changed"))
+    assert got == [("1", 1, "GA", "G", True), ("2", 9, "AC", "A", False)]
+
+
+def test_serial_dates_reject_junk(spark):
+    import datetime as dt
+    from genoframe.functions.dates import parse_dmy_or_serial
+    df = spark.createDataFrame([("99999999999",), ("NaN",), ("44197",), ("3-2-2020",), (None,)], "x string")
+    assert [r[0] for r in df.select(parse_dmy_or_serial("x")).collect()] == [None, None, dt.date(2021, 1, 1), dt.date(2020, 2, 3), None]
+
+
+def test_neg_log10_of_zero_and_bh_of_nan(spark):
+    from genoframe.functions.stats import neg_log10
+    from genoframe.operators.ordered import bh_adjust
+    df = spark.createDataFrame([(0.0,), (0.01,), (-1.0,), (None,)], "p double")
+    assert [r[0] for r in df.select(neg_log10("p")).collect()] == [math.inf, 2.0, None, None]
+    p = spark.createDataFrame([(1, 0.01), (2, 0.02), (3, float("nan")), (4, None)], "i int, p double")
+    assert dict(rows(bh_adjust(p, "p"), "i", "q_fdr")) == {1: 0.02, 2: 0.02, 3: None, 4: None}
+
+
+def test_sites_index_per_allele_fields(spark, tmp_path):
+    from genoframe.sources.vcf import read_sites
+    f = tmp_path / "s.vcf"
+    f.write_text("##fileformat=VCFv4.2\n##INFO=<ID=AC,Number=A,Type=Integer>\n##INFO=<ID=AD,Number=R,Type=Integer>\n"
+                 "##INFO=<ID=AN,Number=1,Type=Integer>\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\n"
+                 "1\t10\t.\tA\tC,G\t.\tPASS\tAC=5,9;AN=20;AD=6,5,9\n")
+    got = sorted(rows(read_sites(spark, str(f), ["AC", "AN", "AD"], ["ac", "an", "ad"]), "alt", "ac", "an", "ad"))
+    assert got == [("C", "5", "20", "5"), ("G", "9", "20", "9")]
+
+
+def test_sheet_export_keeps_quoted_separators(spark, tmp_path):
+    from genoframe.sources.tabular import read_sheet_export
+    f = tmp_path / "s.csv"
+    f.write_text('title\nid,kind\n1,"ELA, bulbar"\n2,MS\n')
+    assert sorted(rows(read_sheet_export(spark, str(f), skip=1), "id", "kind")) == [("1", "ELA, bulbar"), ("2", "MS")]
