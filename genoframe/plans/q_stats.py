@@ -18,6 +18,7 @@ from genoframe.plans import settest as sk
 from genoframe.plans.phenotypes import PSAM_CODES, make_psam
 from genoframe.plans.q_columns import r6, zscored_pcs, SQL_PCS
 from genoframe.plans.registry import register
+from genoframe.session import ensure_checkpoint_dir
 
 COVS = [f"PC{i}" for i in range(1, 7)]
 
@@ -329,9 +330,15 @@ def e3_rva(spark, d):
     res = pl.rare_variant_association(cohort_genotypes(spark, d, rare=True), annotated(spark, d),
                                       gene_sets(spark, d), nmod, zscored_pcs(spark, d), COVS,
                                       RVA_FILTER, max_maf=0.05)
-    named = res.withColumn("unit", F.concat_ws(":", "pheno", "unit"))
-    # ties in p are broken by the (unique) set label, a stable key
-    return pr.top_hits(named.withColumn("_row", F.col("unit")), 20)
+    # one result set per phenotype: each has its own q-values and its own top 20; the tests run once
+    ensure_checkpoint_dir(spark)
+    res = res.withColumn("_row", F.col("unit")).checkpoint()
+    out = None
+    for pheno in sorted(r[0] for r in res.select("pheno").distinct().collect()):
+        # ties in p are broken by the set label, unique within a phenotype
+        top = pr.top_hits(res.where(F.col("pheno") == pheno), 20).withColumn("pheno", F.lit(pheno))
+        out = top if out is None else out.unionByName(top)
+    return out if out is not None else pr.top_hits(res, 20).withColumn("pheno", F.lit(None).cast("string"))
 
 
 @register("st01c_pca_randomized")

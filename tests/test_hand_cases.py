@@ -380,3 +380,14 @@ def test_sheet_export_keeps_quoted_separators(spark, tmp_path):
     f = tmp_path / "s.csv"
     f.write_text('title\nid,kind\n1,"ELA, bulbar"\n2,MS\n')
     assert sorted(rows(read_sheet_export(spark, str(f), skip=1), "id", "kind")) == [("1", "ELA, bulbar"), ("2", "MS")]
+
+
+def test_rare_variant_hits_are_ranked_per_phenotype(spark, sf):
+    from genoframe.plans.registry import load_all
+    got = load_all()["e3_rare_variant_association"][0](spark, sf).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r["pheno"], []).append(r)
+    assert len(by) > 1 and all(len(v) <= 20 for v in by.values())
+    for v in by.values():
+        assert sorted(r["ordinal"] for r in v) == list(range(1, len(v) + 1)) and len({r["name"] for r in v}) == len(v)
