@@ -16,20 +16,21 @@ def _ascii_fold(s: str) -> str:
     return unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode("ascii")
 
 
+def _joined(text: str) -> str:
+    """The runs of lower-case ASCII letters and digits, joined by an underscore."""
+    return "_".join(re.findall("[a-z0-9]+", text))
+
+
 def normalize_name(name: str) -> str:
-    """PRJ-1: ASCII fold, lower, '%' -> '_pct_', non-alnum -> '_', collapse, strip one edge '_'."""
-    s = _ascii_fold(name).lower().replace("%", "_pct_")
-    s = re.sub(r"[^A-Za-z0-9]", "_", s)
-    s = re.sub(r"_+", "_", s)
-    return re.sub(r"^_|_$", "", s)
+    """PRJ-1: letters and digits of the ASCII-folded, lower-cased name, '_' between runs; '%' reads as the word pct."""
+    return _joined(_ascii_fold(name).lower().replace("%", " pct "))
 
 
 def registry_name(name: str) -> str:
-    """PRJ-1 (registry variant): lower, '_' before a non-letter start, non-alnum runs -> '_'."""
-    s = name.lower()
-    s = re.sub(r"^([^a-z])", r"_\1", s)
-    s = re.sub(r"(?:[^a-z0-9]|\s)+", "_", s)
-    return re.sub(r"_*$", "", s)
+    """PRJ-1 (registry variant): no folding; a name that does not start with a letter starts with '_'."""
+    low = name.lower()
+    body = _joined(low)
+    return body if not body or "a" <= low[0] <= "z" else f"_{body}"
 
 
 def normalize_names(df: DataFrame, fn: Callable[[str], str] = normalize_name) -> DataFrame:
