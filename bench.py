@@ -33,6 +33,11 @@ HEADLINE = {
     "kings_staging": "fn15_kings_stage",
     "mitos_staging": "fn14_mitos_stage",
     "decay_fit": "st11_fit_d50",
+    "glm_logistic": "st05_glm_logistic",
+    "rare_variant_flow": "e3_rare_variant_association",
+    "annotate_scores": "jn12_annotate_scores",
+    "read_vcf": "src01_read_vcf_per_sample",
+    "write_vcf": "snk02_write_vcf",
 }
 
 
