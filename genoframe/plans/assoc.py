@@ -8,8 +8,8 @@
   variant's missing-call rows; g'C, g'g, g'y are sums over carrier rows.  One
   ``groupBy(pheno, v)`` aggregation, then a batched 8x8 solve per row.
 * ST-5 ``glm_logistic``: per-variant logistic regression with Firth fallback.
-  IRLS needs every sample, so each task holds the (bounded) sample design
-  matrix and densifies one variant at a time from its carrier rows.
+  IRLS needs every sample, so each task holds the sample design matrix and fits
+  variants in blocks, densified from their carrier rows.
 """
 
 from __future__ import annotations
@@ -152,8 +152,8 @@ def glm_linear(genotypes: DataFrame, mf: DataFrame, cov_names: Sequence[str],
             n = A[:, 0, 0]
             beta = np.full(b, np.nan)
             se = np.full(b, np.nan)
-            # batched inverse; rank-deficient rows (e.g. a monomorphic site) stay NaN
-            good = np.abs(np.linalg.det(A)) > 1e-300
+            # batched inverse; rank-deficient rows (a monomorphic site, a genotype the covariates explain) stay NaN
+            good = nm.full_rank(A)
             if good.any():
                 inv = np.linalg.inv(A[good])
                 coef = np.einsum("bij,bj->bi", inv, rhs[good])
@@ -174,61 +174,80 @@ def glm_linear(genotypes: DataFrame, mf: DataFrame, cov_names: Sequence[str],
 
 
 # ------------------------------------------------------------------ ST-5 logistic + Firth
+#: Genotype cells (variants x samples) that one step of the batched fit holds.
+FIT_CELLS = 1 << 21
+
+
 def glm_logistic(genotypes: DataFrame, mf: DataFrame, cov_names: Sequence[str],
-                 key: str = "sample_id", vkey: str = "v", max_samples: int = 200_000) -> DataFrame:
+                 key: str = "sample_id", vkey: str = "v") -> DataFrame:
     """ST-5: logistic regression per (binary phenotype, variant) with Firth fallback.
 
-    The design (samples x phenotypes x covariates) is bounded by the cohort and
-    checked against ``max_samples`` before it is shipped to the tasks; the
-    genotypes stay sparse and are densified one variant at a time.
+    Each task holds the design (one row a sample: covariates and phenotypes, 8 bytes each) and
+    fits the variants of its partition in blocks of ``FIT_CELLS`` genotypes; a variant whose plain
+    fit fails or diverges is fitted again with Firth's penalty. Phenotypes that are not 0/1 and variants
+    without variation among a phenotype's samples give no row.
     Output: pheno, v, n, firth, beta (log OR), or, se, z_stat, p.
     """
     cov = list(cov_names)
-    design = mf.select("pheno", key, "y", *cov).toPandas()
-    if design[key].nunique() > max_samples:
-        raise ValueError("cohort larger than the in-task design bound; raise max_samples")
-    samples = sorted(design[key].unique())
-    idx = {s: i for i, s in enumerate(samples)}
-    n = len(samples)
-    X = np.full((n, len(cov)), np.nan)
-    for c_i, c in enumerate(cov):
-        X[design[key].map(idx).to_numpy(), c_i] = design[c].to_numpy(float)
-    ys = {}
-    for ph, sub in design.groupby("pheno"):
-        y = np.full(n, np.nan)
-        y[sub[key].map(idx).to_numpy()] = sub["y"].to_numpy(float)
-        if set(np.unique(y[~np.isnan(y)])) == {0.0, 1.0}:
-            ys[ph] = y
-    bc = genotypes.sparkSession.sparkContext.broadcast((idx, X, ys))
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        idx_, X_, ys_ = bc.value
-        g = np.zeros(len(idx_))
-        pos = pdf[key].map(idx_)
-        ok = pos.notna().to_numpy()
-        d = pdf["dosage"].to_numpy(float)
-        g[pos[ok].astype(int).to_numpy()] = d[ok]
-        out = []
-        for ph, y in ys_.items():
-            mask = ~np.isnan(y) & ~np.isnan(g) & ~np.isnan(X_).any(axis=1)
-            Xd = np.column_stack([np.ones(mask.sum()), g[mask], X_[mask]])
-            yy = y[mask]
-            if np.unique(g[mask]).size < 2:
-                continue
-            beta, cov_m, conv = nm.logistic_irls(Xd, yy)
-            firth = False
-            if not conv:
-                beta, cov_m, conv = nm.logistic_firth(Xd, yy)
-                firth = True
-            if cov_m is None:
-                out.append((ph, pdf[vkey].iloc[0], int(mask.sum()), firth, np.nan, np.nan, np.nan, np.nan, np.nan))
-                continue
-            b, se = beta[1], float(np.sqrt(cov_m[1, 1]))
-            z = b / se
-            out.append((ph, pdf[vkey].iloc[0], int(mask.sum()), firth, b, float(np.exp(b)), se, z,
-                        nm.normal_two_sided_p(z)))
-        return pd.DataFrame(out, columns=["pheno", vkey, "n", "firth", "beta", "or", "se", "z_stat", "p"])
-
+    names = sorted(r["pheno"] for r in binary_kind(mf).where(F.col("kind") == "binary").collect())
     schema = (f"pheno string, {vkey} bigint, n bigint, firth boolean, beta double, or double, se double, "
               "z_stat double, p double")
-    return genotypes.select(vkey, key, "dosage").groupBy(vkey).applyInPandas(fit, schema)
+    if not names:
+        return genotypes.sparkSession.createDataFrame([], schema)
+    design = mf.groupBy(key, *cov).pivot("pheno", names).agg(F.first("y")).orderBy(key).toPandas()
+    idx = {s: i for i, s in enumerate(design[key])}
+    X = design[cov].to_numpy(float)
+    Y = design[names].to_numpy(float)
+    bc = genotypes.sparkSession.sparkContext.broadcast((idx, X, Y))
+    columns = ["pheno", vkey, "n", "firth", "beta", "or", "se", "z_stat", "p"]
+
+    def fit_block(vs, rows_i, rows_v, dosage):
+        """Fit some variants; rows_i / rows_v place each dosage in the samples x variants grid."""
+        _, X_, Y_ = bc.value
+        g = np.zeros((len(vs), len(X_)))
+        g[rows_v, rows_i] = dosage
+        out = []
+        for j, ph in enumerate(names):
+            of = ~np.isnan(Y_[:, j])
+            gp, x, y = g[:, of], X_[of], Y_[of, j]
+            known = ~np.isnan(gp)
+            lo, hi = np.where(known, gp, np.inf).min(axis=1), np.where(known, gp, -np.inf).max(axis=1)
+            varies = np.flatnonzero(hi > lo)
+            beta, se, ok = nm.logistic_batch(x, gp[varies], y)
+            n = known[varies].sum(axis=1)
+            firth = ~ok
+            for r in np.flatnonzero(firth):
+                m = known[varies[r]]
+                b, cm, _ = nm.logistic_firth(np.column_stack([np.ones(m.sum()), gp[varies[r]][m], x[m]]), y[m])
+                if cm is not None:
+                    beta[r], se[r] = b[1], np.sqrt(cm[1, 1])
+            z = beta / se
+            out.append(pd.DataFrame({"pheno": ph, vkey: vs[varies], "n": n, "firth": firth, "beta": beta, "or": np.exp(beta), "se": se,
+                                     "z_stat": z, "p": [nm.normal_two_sided_p(q) for q in z]}))
+        return pd.concat(out, ignore_index=True)[columns]
+
+    def fit(it):
+        """Rows arrive sorted by variant; the last variant of a batch may go on in the next."""
+        idx_ = bc.value[0]
+        step = max(1, FIT_CELLS // max(1, len(idx_)))
+
+        def blocks(pdf):
+            pos = pdf[key].map(idx_)
+            vs, of = np.unique(pdf[vkey].to_numpy(), return_inverse=True)
+            d, known = pdf["dosage"].to_numpy(float), pos.notna().to_numpy()
+            for at in range(0, len(vs), step):
+                m = known & (of >= at) & (of < at + step)
+                yield fit_block(vs[at: at + step], pos[m].to_numpy(int), of[m] - at, d[m])
+
+        carry = None
+        for pdf in it:
+            pdf = pdf if carry is None else pd.concat([carry, pdf], ignore_index=True)
+            if len(pdf):
+                last = (pdf[vkey] == pdf[vkey].iloc[-1]).to_numpy()
+                carry = pdf[last]
+                yield from blocks(pdf[~last])
+        if carry is not None:
+            yield from blocks(carry)
+
+    rows = genotypes.select(vkey, key, "dosage").repartition(vkey).sortWithinPartitions(vkey)
+    return rows.mapInPandas(fit, schema)

@@ -286,8 +286,8 @@ def imhof_sf(q: float, lam: np.ndarray, n: int = 4000) -> float:
     u = (t / (1 - t)) ** 3                      # cubic map: integrable ends at t=0 and t=1
     du = 3 * t ** 2 / (1 - t) ** 4 / n
     theta = 0.5 * np.sum(np.arctan(np.outer(u, lam)), axis=1) - 0.5 * q * u
-    rho = np.exp(0.25 * np.sum(np.log1p(np.outer(u * u, lam * lam)), axis=1))
-    integrand = np.sin(theta) / (u * rho)
+    log_rho = 0.25 * np.sum(np.log1p(np.outer(u * u, lam * lam)), axis=1)
+    integrand = np.sin(theta) * np.exp(-log_rho) / u
     return float(0.5 + np.sum(integrand * du) / math.pi)
 
 
@@ -335,7 +335,60 @@ def mixture_chi2_sf(q: float, lam: np.ndarray) -> float:
     return float(min(max(p, 0.0), 1.0))
 
 
-# ------------------------------------------------------------------ logistic models
+# ------------------------------------------------------------------ regression
+def full_rank(A: np.ndarray, tol: float = 1e-10) -> np.ndarray:
+    """Which cross-product matrices of a batch (b, k, k) have full rank: the least eigenvalue after scaling to unit diagonal."""
+    d = np.einsum("bii->bi", A)
+    ok = np.isfinite(A).all(axis=(1, 2)) & (d > 0).all(axis=1)
+    if ok.any():
+        s = 1 / np.sqrt(d[ok])
+        ok[ok] = np.linalg.eigvalsh(A[ok] * s[:, :, None] * s[:, None, :])[:, 0] > tol
+    return ok
+
+
+def logistic_batch(X: np.ndarray, G: np.ndarray, y: np.ndarray, max_iter: int = 25, tol: float = 1e-8):
+    """``logistic_irls`` of y on [1, g, X] for every row g of G (variants x samples) at once; a NaN genotype leaves its sample out.
+
+    Returns (beta of g, its se, converged): the design columns but g are shared, so information
+    matrices and scores of all variants are a few matrix products.
+    """
+    b, n = G.shape
+    C = np.column_stack([np.ones(n), X])                   # shared columns
+    k = C.shape[1] + 1                                     # g comes last here
+    pairs = np.einsum("ni,nj->nij", C, C).reshape(n, -1)
+    use = ~np.isnan(G)
+    g = np.where(use, G, 0.0)
+    beta = np.zeros((b, k))
+    out_beta, out_se, done = np.full(b, np.nan), np.full(b, np.nan), np.zeros(b, bool)
+    live = np.arange(b)
+    for _ in range(max_iter):
+        if not len(live):
+            break
+        gl, ul = g[live], use[live]
+        eta = np.clip(beta[live, :-1] @ C.T + beta[live, -1:] * gl, -30, 30)
+        mu = 1 / (1 + np.exp(-eta))
+        w = mu * (1 - mu) * ul
+        r = (y - mu) * ul
+        info = np.empty((len(live), k, k))
+        info[:, :-1, :-1] = (w @ pairs).reshape(-1, k - 1, k - 1)
+        info[:, :-1, -1] = info[:, -1, :-1] = (w * gl) @ C
+        info[:, -1, -1] = (w * gl * gl).sum(axis=1)
+        ok = full_rank(info)
+        live, info, r, gl = live[ok], info[ok], r[ok], gl[ok]
+        if not len(live):
+            break
+        score = np.column_stack([r @ C, (r * gl).sum(axis=1)])
+        inv = np.linalg.inv(info)
+        step = np.einsum("bij,bj->bi", inv, score)
+        beta[live] += step
+        end = np.abs(step).max(axis=1) < tol
+        fine = end & (np.abs(beta[live]) < 15).all(axis=1)
+        out_beta[live[fine]], out_se[live[fine]] = beta[live[fine], -1], np.sqrt(inv[fine, -1, -1])
+        done[live[fine]] = True
+        live = live[~end]
+    return out_beta, out_se, done
+
+
 def logistic_irls(X: np.ndarray, y: np.ndarray, max_iter: int = 25, tol: float = 1e-8):
     """Plain logistic regression.  Returns (beta, cov, converged)."""
     beta = np.zeros(X.shape[1])

@@ -6,6 +6,8 @@ Every global ordering (ranks, BH q-values, quantiles) goes through
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -21,14 +23,14 @@ P_COLS = ["permpvalue", "pvalue", "p"]
 FDR_THRESHOLD = 0.05
 
 
-def _named(results: DataFrame, row: str) -> DataFrame:
+def _named(results: DataFrame) -> DataFrame:
     return results.select("*", coalesce_any_of(results, NAME_COLS).alias("name"),
                           coalesce_any_of(results, P_COLS).alias("p_value"))
 
 
 def qq(results: DataFrame, row: str = "_row") -> DataFrame:
     """DP-1: name, observed -log10 p, expected -log10(rank/(n+1)), BH q (first row per name)."""
-    r = head_by(_named(results, row), ["name"], row).where(F.col("p_value").isNotNull())
+    r = head_by(_named(results), ["name"], row).where(F.col("p_value").isNotNull())
     r = rank_and_bh(r, "p_value", "rank", "q_fdr", "_n")
     return r.select("name", neg_log10("p_value").alias("observed"),
                     (-F.log10(F.col("rank") / (F.col("_n") + 1))).alias("expected"), "q_fdr")
@@ -70,13 +72,23 @@ def volcano(results: DataFrame, row: str = "_row") -> DataFrame:
 def top_hits(results: DataFrame, k: int = 20, row: str = "_row") -> DataFrame:
     """DP-4 / SO-6 / SO-7: BH over all named results first, then the k smallest p (ties by input
     order) with an ordinal of the label by -log10 p."""
-    r = head_by(_named(results, row), ["name"], row).where(F.col("p_value").isNotNull())
+    r = head_by(_named(results), ["name"], row).where(F.col("p_value").isNotNull())
     r = bh_adjust(r.withColumn("log_p", neg_log10("p_value")), "p_value", "q_fdr")
     top = r.orderBy("p_value", row).limit(k)                       # TakeOrderedAndProject
     w = Window.orderBy("log_p", "name")                            # on k rows
     return top.withColumn("ordinal", F.row_number().over(w)).select("name", "p_value", "log_p", "q_fdr", "ordinal")
 
 
+def top_hits_by(results: DataFrame, by: Sequence[str], k: int = 20) -> DataFrame:
+    """DP-4 of many result sets at once: BH, the k smallest p (ties by label) and the ordinal within each group of ``by``."""
+    r = _named(results).where(F.col("p_value").isNotNull())
+    r = bh_adjust(r.withColumn("log_p", neg_log10("p_value")), "p_value", "q_fdr", by=by)
+    first = Window.partitionBy(*by).orderBy("p_value", "name")     # WindowGroupLimit: k rows a group and task go on
+    top = r.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= k)
+    w = Window.partitionBy(*by).orderBy("log_p", "name")
+    return top.withColumn("ordinal", F.row_number().over(w)).select(*by, "name", "p_value", "log_p", "q_fdr", "ordinal")
+
+
 def scree(eigen: DataFrame, order: str = "pc") -> DataFrame:
     """DP-5 / AG-14 / WN-9 / WN-11: share of the listed eigenvalues, running share, < 0.9 flag.
 

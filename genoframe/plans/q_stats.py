@@ -16,11 +16,14 @@ from genoframe.plans import pca as pc
 from genoframe.plans import products as pr
 from genoframe.plans import settest as sk
 from genoframe.plans.phenotypes import PSAM_CODES, make_psam
-from genoframe.plans.q_columns import r6, zscored_pcs, SQL_PCS
+from genoframe.plans.q_filters import RVA_FILTER
+from genoframe.plans.q_columns import PSAM_SQL, r6, zscored_pcs, SQL_PCS
 from genoframe.plans.registry import register
 from genoframe.session import ensure_checkpoint_dir
 
 COVS = [f"PC{i}" for i in range(1, 7)]
+# The MAF cuts of the run grid.
+MAF_CUTS = [0.01, 0.05]
 
 
 def cohort_genotypes(spark, d, rare: bool = False):
@@ -151,8 +154,7 @@ def st04b(spark, d):
 
 @register("st05_glm_logistic")
 def st05(spark, d):
-    mf = model_frame(spark, d).where(F.col("pheno").isin("ALS", "MS", "ALS_MS"))
-    return st.glm_logistic(maf_filtered(spark, d, cohort_genotypes(spark, d)), mf, COVS)
+    return st.glm_logistic(maf_filtered(spark, d, cohort_genotypes(spark, d)), model_frame(spark, d), COVS)
 
 
 # ------------------------------------------------------------------ ST-6 null model
@@ -180,7 +182,9 @@ def gene_sets(spark, d):
 
 
 def _set_test(spark, d, phenos, max_maf, method):
-    mf = model_frame(spark, d).where(F.col("pheno").isin(*phenos))
+    mf = model_frame(spark, d)
+    if phenos:
+        mf = mf.where(F.col("pheno").isin(*phenos))
     nmod = st.null_model(mf, COVS)
     return sk.set_test(cohort_genotypes(spark, d, rare=True), gene_sets(spark, d), nmod,
                        zscored_pcs(spark, d), COVS, max_maf=max_maf, method=method)
@@ -189,8 +193,8 @@ def _set_test(spark, d, phenos, max_maf, method):
 register("st07_skat")(lambda spark, d: _set_test(spark, d, ["QT"], 0.05, "SKAT"))
 register("st08_skato")(lambda spark, d: _set_test(spark, d, ["QT"], 0.05, "SKATO"))
 register("st08b_burden")(lambda spark, d: _set_test(spark, d, ["QT"], 0.05, "burden"))
-register("st09_skato_binary")(lambda spark, d: _set_test(spark, d, ["ALS", "MS"], 0.05, "SKATO"))
-register("st10_skato_maf001")(lambda spark, d: _set_test(spark, d, ["QT", "ALS"], 0.01, "SKATO"))
+register("st09_skato_binary")(lambda spark, d: _set_test(spark, d, list(PSAM_CODES), 0.05, "SKATO"))
+register("st10_skato_maf001")(lambda spark, d: _set_test(spark, d, None, 0.01, "SKATO"))
 
 
 @register("st10b_maf_cut", """
@@ -272,17 +276,17 @@ def udf04(spark, d):
 
 
 @register("set11_association_grid", """
-SELECT 'impact_HIGH_or_cadd_20_or_sift4g_D_or_polyphen2_D' AS filter, m.max_maf, t.pheno, 'SYMBOL' AS unit,
-       'SKATO' AS test
-FROM (VALUES (CAST(0.01 AS DOUBLE)), (CAST(0.05 AS DOUBLE))) m(max_maf), (VALUES ('QT'), ('ALS'), ('MS'), ('ALS_MS')) t(pheno)""")
+, ps AS (""" + PSAM_SQL.strip() + """)
+, long AS (""" + " UNION ALL ".join(f"SELECT '{t}' AS pheno, CAST(\"{t}\" AS DOUBLE) AS value FROM ps" for t in PSAM_CODES) + """
+           UNION ALL SELECT 'QT', round(quant / 1000.0, 6) FROM pheno)
+, ok AS (SELECT pheno FROM long WHERE value IS NOT NULL GROUP BY pheno HAVING count(DISTINCT value) >= 2)
+SELECT '""" + RVA_FILTER + """' AS filter, m.max_maf, pheno, 'SYMBOL' AS unit, 'SKATO' AS test
+FROM ok, (VALUES """ + ", ".join(f"(CAST({c} AS DOUBLE))" for c in MAF_CUTS) + """) m(max_maf)""", ["pheno"])
 def set11(spark, d):
     """The run grid over phenotypes that pass FLT-25, as one DataFrame (exploded, not joined)."""
-    mf = model_frame(spark, d).where(F.col("pheno").isin("QT", "ALS", "MS", "ALS_MS"))
-    phenos = st.valid_phenotypes(mf)
-    g = phenos.select(F.lit("impact_HIGH_or_cadd_20_or_sift4g_D_or_polyphen2_D").alias("filter"),
-                      F.explode(F.array(F.lit(0.01), F.lit(0.05))).alias("max_maf"), "pheno",
-                      F.lit("SYMBOL").alias("unit"), F.lit("SKATO").alias("test"))
-    return g
+    phenos = st.valid_phenotypes(model_frame(spark, d))
+    return phenos.select(F.lit(RVA_FILTER).alias("filter"), F.explode(F.array(*[F.lit(c) for c in MAF_CUTS])).alias("max_maf"), "pheno",
+                         F.lit("SYMBOL").alias("unit"), F.lit("SKATO").alias("test"))
 
 
 # ------------------------------------------------------------------ end-to-end flows
@@ -324,21 +328,14 @@ def e2_sva(spark, d):
 
 @register("e3_rare_variant_association")
 def e3_rva(spark, d):
-    from genoframe.plans.q_filters import RVA_FILTER, annotated
-    mf = model_frame(spark, d).where(F.col("pheno").isin("QT", "ALS"))
-    nmod = st.null_model(mf, COVS)
+    """All phenotypes and both MAF cuts in one job; q-values and the top 20 per (phenotype, cut)."""
+    from genoframe.plans.q_filters import annotated
+    nmod = st.null_model(model_frame(spark, d), COVS)
     res = pl.rare_variant_association(cohort_genotypes(spark, d, rare=True), annotated(spark, d),
                                       gene_sets(spark, d), nmod, zscored_pcs(spark, d), COVS,
-                                      RVA_FILTER, max_maf=0.05)
-    # one result set per phenotype: each has its own q-values and its own top 20; the tests run once
+                                      RVA_FILTER, max_maf=MAF_CUTS)
     ensure_checkpoint_dir(spark)
-    res = res.withColumn("_row", F.col("unit")).checkpoint()
-    out = None
-    for pheno in sorted(r[0] for r in res.select("pheno").distinct().collect()):
-        # ties in p are broken by the set label, unique within a phenotype
-        top = pr.top_hits(res.where(F.col("pheno") == pheno), 20).withColumn("pheno", F.lit(pheno))
-        out = top if out is None else out.unionByName(top)
-    return out if out is not None else pr.top_hits(res, 20).withColumn("pheno", F.lit(None).cast("string"))
+    return pr.top_hits_by(res.checkpoint(), ["pheno", "max_maf"], 20)
 
 
 @register("st01c_pca_randomized")

@@ -113,20 +113,25 @@ def skato_pvalue(S: np.ndarray, K: np.ndarray, rhos: Sequence[float] = RHO_GRID)
     integral = float(np.trapezoid(cdf * dens, us))
     p = 1 - integral
     p = min(max(p, 0.0), 1.0)
-    return float(min(p, pmin * len(rr))) if p > 0 else pmin
+    # where the integral reaches 1 to rounding, the bound over the grid stands
+    bound = min(pmin * len(rr), 1.0)
+    return float(min(p, bound)) if p > 0 else float(bound)
 
 
 def set_test(genotypes: DataFrame, sets: DataFrame, null: DataFrame, covars: DataFrame,
-             cov_names: Sequence[str], max_maf: float = 0.01, method: str = "SKATO",
+             cov_names: Sequence[str], max_maf: float | Sequence[float] = 0.01, method: str = "SKATO",
              key: str = "sample_id", vkey: str = "v", unit: str = "unit") -> DataFrame:
-    """ST-7/8/9/10: one p-value per (phenotype, set).
+    """ST-7/8/9/10: one p-value per (phenotype, set), and per MAF cut if ``max_maf`` lists several (column ``max_maf``).
 
     ``sets`` = (v, unit); ``null`` from ``assoc.null_model``; ``covars`` holds the
     model covariates.  N counts all variants of the set (before the MAF cut);
     single-variant sets get a NULL p-value; missing calls are imputed by 2*MAF;
-    variants with allele frequency > 0.5 are flipped to the minor allele.
+    variants with allele frequency > 0.5 are flipped to the minor allele. Variants above the
+    largest cut are dropped before their carriers are shuffled; a NULL unit is no set.
     """
     cov = list(cov_names)
+    cuts = [float(max_maf)] if isinstance(max_maf, (int, float)) else sorted({float(x) for x in max_maf})
+    sets = sets.where(F.col(unit).isNotNull())
     # (pheno, sample, resid, var_w, covariates): n x phenotypes rows, fitted once and
     # materialised in the checkpoint folder (it feeds the totals and the per-set join)
     nx = null.join(covars.select(key, *cov), key).checkpoint()
@@ -137,31 +142,34 @@ def set_test(genotypes: DataFrame, sets: DataFrame, null: DataFrame, covars: Dat
         *[F.sum(F.col("var_w") * F.col(a) * F.col(b)).alias(f"xx_{a}_{b}") for a in cov for b in cov])
     totals = {r["pheno"]: r.asDict() for r in tot.collect()}
 
-    g = genotypes.select(vkey, key, "dosage").join(sets.select(vkey, unit), vkey)
+    # read twice below (frequencies, carrier rows)
+    g = genotypes.select(vkey, key, "dosage").join(sets.select(vkey, unit), vkey).checkpoint()
     gx = g.join(broadcast_if_small(nx.select("pheno", key, "resid", "var_w", *cov)), key)
     # allele frequency among the phenotype's samples
     af = gx.groupBy("pheno", vkey).agg(F.sum("dosage").alias("_ac"),
                                        F.count(F.when(F.col("dosage").isNull(), 1)).alias("_nm"))
     af = af.join(F.broadcast(tot.select("pheno", "n")), "pheno").select(
         "pheno", vkey, (F.col("_ac") / (2.0 * (F.col("n") - F.col("_nm")))).alias("af"))
-    rows = gx.join(af, ["pheno", vkey])
+    maf_col = F.least("af", 1 - F.col("af"))
+    rows = gx.join(af.where((maf_col > 0) & (maf_col <= cuts[-1])), ["pheno", vkey])
     set_n = sets.groupBy(unit).agg(F.count(F.lit(1)).alias("n_set"))
     rows = rows.join(set_n, unit)
     bc = genotypes.sparkSession.sparkContext.broadcast(totals)
 
     def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        ph, u = pdf["pheno"].iloc[0], pdf[unit].iloc[0]
-        n_set = int(pdf["n_set"].iloc[0])
-        if n_set == 1:
-            return pd.DataFrame({"pheno": [ph], unit: [u], "n": [n_set], "p": [np.nan]})
+        ph, u, n_set = pdf["pheno"].iloc[0], pdf[unit].iloc[0], int(pdf["n_set"].iloc[0])
+        ps = [np.nan if n_set == 1 else one_cut(pdf, ph, cut) for cut in cuts]
+        return pd.DataFrame({"pheno": ph, unit: u, "max_maf": cuts, "p": ps})
+
+    def one_cut(pdf: pd.DataFrame, ph: str, cut: float) -> float:
         t = bc.value[ph]
         maf_all = pdf.groupby(vkey)["af"].first()
         flip = maf_all > 0.5
         maf = np.where(flip, 1 - maf_all, maf_all)
-        keep = (maf > 0) & (maf <= max_maf)
+        keep = (maf > 0) & (maf <= cut)
         vs = maf_all.index[keep]
         if len(vs) == 0:
-            return pd.DataFrame({"pheno": [ph], unit: [u], "n": [n_set], "p": [np.nan]})
+            return np.nan
         maf_k, flip_k = maf[keep], flip.to_numpy()[keep]
         w = beta_weight(maf_k)
         sub = pdf[pdf[vkey].isin(vs)]
@@ -197,20 +205,17 @@ def set_test(genotypes: DataFrame, sets: DataFrame, null: DataFrame, covars: Dat
         Sw = S * w
         K = GPG * np.outer(w, w)
         if method == "SKAT":
-            p = skat_pvalue(Sw, K)
-        elif method == "burden":
-            p = burden_pvalue(Sw, K)
-        else:
-            p = skato_pvalue(Sw, K)
-        return pd.DataFrame({"pheno": [ph], unit: [u], "n": [n_set], "p": [p]})
-
-    schema = f"pheno string, {unit} string, n bigint, p double"
-    tested = rows.groupBy("pheno", unit).applyInPandas(test, schema)
-    # every (phenotype, set) is reported: sets without rare carriers get n and a NULL p
-    phenos = sorted(totals)
-    every = set_n.select(unit, F.col("n_set").alias("n"),
-                         F.explode(F.array(*[F.lit(p) for p in phenos])).alias("pheno")) if phenos else None
-    if every is None:
-        return tested
-    return every.join(tested.select("pheno", unit, F.col("p")), ["pheno", unit], "left") \
-        .select("pheno", unit, F.col("n").cast("bigint").alias("n"), "p")
+            return skat_pvalue(Sw, K)
+        if method == "burden":
+            return burden_pvalue(Sw, K)
+        return skato_pvalue(Sw, K)
+
+    tested = rows.groupBy("pheno", unit).applyInPandas(test, f"pheno string, {unit} string, max_maf double, p double")
+    # every (phenotype, set, cut) is reported: sets without rare carriers get n and a NULL p
+    every = set_n.select(unit, F.col("n_set").cast("bigint").alias("n"),
+                         F.explode(F.lit(sorted(totals)).cast("array<string>")).alias("pheno"))
+    every = every.withColumn("max_maf", F.explode(F.array(*[F.lit(c) for c in cuts])))
+    out = every.join(tested, ["pheno", unit, "max_maf"], "left")
+    if isinstance(max_maf, (int, float)):
+        return out.select("pheno", unit, "n", "p")
+    return out.select("pheno", "max_maf", unit, "n", "p")

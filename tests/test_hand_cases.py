@@ -387,7 +387,65 @@ def test_rare_variant_hits_are_ranked_per_phenotype(spark, sf):
     got = load_all()["e3_rare_variant_association"][0](spark, sf).collect()
     by = {}
     for r in got:
-        by.setdefault(r["pheno"], []).append(r)
-    assert len(by) > 1 and all(len(v) <= 20 for v in by.values())
+        by.setdefault((r["pheno"], r["max_maf"]), []).append(r)
+    assert {cut for _, cut in by} == {0.01, 0.05} and len(by) > 12 and all(len(v) <= 20 for v in by.values())
     for v in by.values():
         assert sorted(r["ordinal"] for r in v) == list(range(1, len(v) + 1)) and len({r["name"] for r in v}) == len(v)
+
+
+def test_bh_within_groups(spark):
+    from genoframe.operators.ordered import bh_adjust
+    rng = np.random.default_rng(5)
+    data = [(g, i, None if i % 7 == 0 else float(round(rng.random(), 2))) for g in ("a", "b") for i in range(60)]
+    got = {(r["g"], r["i"]): r["q_fdr"] for r in bh_adjust(spark.createDataFrame(data, "g string, i int, p double"), "p", by=["g"]).collect()}
+    assert len(got) == len(data)
+    for g in ("a", "b"):
+        known = sorted((p, i) for k, i, p in data if k == g and p is not None)
+        least = 1.0
+        for at in range(len(known), 0, -1):
+            least = min(least, len(known) * known[at - 1][0] / at)
+            assert got[(g, known[at - 1][1])] == pytest.approx(least)
+        assert all(got[(g, i)] is None for k, i, p in data if k == g and p is None)
+
+
+def test_pca_pairs_are_eigenpairs(spark, sf):
+    """|G v - lambda v| is about 0 for every returned component, G from the block sums."""
+    from genoframe import fixtures as fx
+    from genoframe.plans import pca as pc
+    from genoframe.plans.q_stats import _tags, cohort_genotypes
+    g, tags = cohort_genotypes(spark, sf), _tags(spark, sf)
+    ids = sorted(r[0] for r in fx.samples(spark, sf).select("sample_id").collect())
+    G, _ = pc.grm_matrix(spark, g, tags, ids)
+    small, _ = pc.grm_pairs(spark, g, tags, ids, block=16)
+    for r in small.collect():
+        assert abs(G[r["i"], r["j"]] - r["grm"]) < 1e-9
+    w, V = pc.pca_randomized(spark, g, tags, ids, k=10)
+    assert np.linalg.norm(G @ V - V * w, axis=0).max() < 1e-6 * w[0]
+    assert np.abs(w - np.sort(np.linalg.eigvalsh(G))[::-1][:10]).max() < 1e-6 * w[0]
+
+
+def test_logistic_batch_equals_single_fits():
+    from genoframe.plans.numerics import logistic_batch, logistic_irls
+    rng = np.random.default_rng(3)
+    X, y = rng.normal(size=(80, 2)), (rng.random(80) < 0.4).astype(float)
+    G = rng.integers(0, 3, size=(12, 80)).astype(float)
+    G[2, ::9] = np.nan
+    G[3] = X[:, 0]                                         # explained by a covariate: no fit
+    beta, se, ok = logistic_batch(X, G, y)
+    assert not ok[3] and ok.sum() == 11
+    for r in np.flatnonzero(ok):
+        m = ~np.isnan(G[r])
+        b, cov, done = logistic_irls(np.column_stack([np.ones(m.sum()), G[r][m], X[m]]), y[m])
+        assert done and beta[r] == pytest.approx(b[1], abs=1e-7) and se[r] == pytest.approx(math.sqrt(cov[1, 1]), rel=1e-6)
+
+
+def test_single_variant_flow_runs_every_phenotype(spark, sf):
+    from genoframe.plans.registry import load_all
+    got = load_all()["e2_single_variant_association"][0](spark, sf).toPandas()
+    assert set(got.loc[got["test"] == "linear", "pheno"]) == {"QT"}
+    assert len(set(got.loc[got["test"] == "logistic", "pheno"])) >= 8
+    for _, part in got.groupby("pheno"):
+        p = part.dropna(subset=["p"]).sort_values("p")
+        raw = p["p"].to_numpy() * len(p) / np.arange(1, len(p) + 1)
+        want = np.minimum(np.minimum.accumulate(raw[::-1])[::-1], 1.0)
+        assert np.allclose(p["q_fdr"].to_numpy(), want)
