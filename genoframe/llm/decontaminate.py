@@ -103,7 +103,10 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id
                  item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``docs`` with the hit words cut out of the text; what stands between words is kept. doc_id must be unique."""
     hits = scan(docs, benchmark, window, id_col, text_col, item_id_col, item_text_col).where("n_hit > 0")
-    both = docs.join(hits.select(F.col("doc_id").alias(id_col), F.col("spans").alias("_spans")), id_col, "left")
-    both = both.withColumn("_w", F.regexp_extract_all(text_col, F.lit(f"({WORD_ANY_CASE})"))).withColumn("_s", F.split(text_col, WORD_ANY_CASE))
-    cut = F.expr("array_join(transform(_s, (s, i) -> concat(s, CASE WHEN i >= size(_w) OR exists(_spans, r -> r.lo <= i AND i < r.hi) THEN '' ELSE _w[i] END)), '')")
-    return both.withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(cut)).select(docs.columns)
+    # the row travels as one value, so that no column of docs can clash with a name used here
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("k"), F.col(text_col).alias("t"))
+    both = rows.join(hits.select(F.col("doc_id").alias("k"), "spans"), "k", "left")
+    both = both.withColumn("w", F.regexp_extract_all("t", F.lit(f"({WORD_ANY_CASE})"))).withColumn("s", F.split("t", WORD_ANY_CASE))
+    cut = F.expr("array_join(transform(s, (x, i) -> concat(x, CASE WHEN i >= size(w) OR exists(spans, r -> r.lo <= i AND i < r.hi) THEN '' ELSE w[i] END)), '')")
+    text = F.when(F.col("spans").isNull(), F.col("t")).otherwise(cut)
+    return both.select(*[text.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])

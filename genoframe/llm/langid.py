@@ -187,27 +187,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     first label in order.
     """
     def run(batches):
-        tables = model.tables() if model else None
-        for part, chunk in chunks(batches, max_bytes=256 << 10):
-            n = len(chunk)
-            label, score, wins = [UNKNOWN] * n, np.zeros(n), np.zeros(n, dtype=np.int64)
-            if model:
-                total, weight = np.zeros((n, len(model.labels))), np.zeros(n)
-                # a very long text is read a part at a time; parts end where windows do
-                for lo, hi, first in _parts(chunk.off, 256 << 10):
-                    grid, row, used = windows_of(chunk.buf[lo:hi], np.clip(chunk.off, lo, hi) - lo) if first is None else \
-                        windows_of(chunk.buf[lo:hi], np.array([0, hi - lo]))
-                    if first is not None:
-                        row = row + first
-                    prob = probabilities(model, tables, grid) * used[:, None]
-                    np.add.at(total, row, prob)
-                    np.add.at(weight, row, used)
-                    wins += np.bincount(row, minlength=n)
-                texts = part.column(1).to_pylist()
-                for i, text in enumerate(texts):
-                    if text and weight[i] and any(ch.isalpha() for ch in text):
-                        k = int(total[i].argmax())
-                        label[i], score[i] = model.labels[k], min(1.0, float(total[i][k] / weight[i]))
+        for part, label, score, wins in _predictions(batches, model, "text"):
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(label, pa.string()), pa.array(score, pa.float64()), pa.array(wins, pa.int64())],
                 ["doc_id", "lang_pred", "score", "n_windows"])
@@ -216,6 +196,45 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
         run, "doc_id bigint, lang_pred string, score double, n_windows bigint")
 
 
+def recognised(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text gets a language: one pass, no shuffle.
+
+    Rows with a null text or one without a letter go, and all rows if there is no model. A null
+    id, repeated rows and other columns do not matter.
+    """
+    def run(batches):
+        for part, label, _, _ in _predictions(batches, model, text_col):
+            yield part.filter(pa.array([x != UNKNOWN for x in label], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _predictions(batches, model: Model | None, text_col: str):
+    """Slices of the batches with the label, score and number of windows of every row."""
+    tables = model.tables() if model else None
+    for part, chunk in chunks(batches, text_col, max_bytes=256 << 10):
+        n = len(chunk)
+        label, score, wins = [UNKNOWN] * n, np.zeros(n), np.zeros(n, dtype=np.int64)
+        if model:
+            total, weight = np.zeros((n, len(model.labels))), np.zeros(n)
+            # a very long text is read a part at a time; parts end where windows do
+            for lo, hi, first in _parts(chunk.off, 256 << 10):
+                grid, row, used = windows_of(chunk.buf[lo:hi], np.clip(chunk.off, lo, hi) - lo) if first is None else \
+                    windows_of(chunk.buf[lo:hi], np.array([0, hi - lo]))
+                if first is not None:
+                    row = row + first
+                prob = probabilities(model, tables, grid) * used[:, None]
+                np.add.at(total, row, prob)
+                np.add.at(weight, row, used)
+                wins += np.bincount(row, minlength=n)
+            texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
+            for i, text in enumerate(texts):
+                if text and weight[i] and any(ch.isalpha() for ch in text):
+                    k = int(total[i].argmax())
+                    label[i], score[i] = model.labels[k], min(1.0, float(total[i][k] / weight[i]))
+        yield part, label, score, wins
+
+
 def _parts(off: np.ndarray, size: int):
     """Byte ranges of a chunk: all of it, or the parts of its single long row."""
     if len(off) > 2 or off[-1] <= size:

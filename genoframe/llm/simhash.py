@@ -199,3 +199,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col
     return (fps.join(nodes, "fp", "left")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id")))
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates, that of the smallest doc_id.
+
+    All columns are kept. Rows that repeat a doc_id are one document: the least of them (by the other columns
+    in order) stays. Rows without a doc_id stay whole. Only ids are gathered to decide; the texts
+    of documents whose id is not repeated are not aggregated.
+    """
+    got = near_duplicates(docs, shingle, max_bits, id_col, text_col).where("doc_id is not null")
+    gone = checkpointed(got.groupBy("doc_id").agg(F.bool_and(F.col("doc_id") != F.col("component_id")).alias("gone")).where("gone")
+                        .select(F.col("doc_id").alias(id_col)))
+    again = checkpointed(docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(id_col))
+    left = docs.join(gone, id_col, "left_anti").select(docs.columns)
+    others = [c for c in docs.columns if c != id_col]
+    many = (left.join(again, id_col, "left_semi").select(F.col(id_col), F.struct(*[F.col(c) for c in others]).alias("rest"))
+            .groupBy(id_col).agg(F.min("rest").alias("rest")).select(id_col, "rest.*"))
+    return left.join(again, id_col, "left_anti").select(docs.columns).unionByName(many.select(docs.columns))

@@ -291,9 +291,31 @@ def test_registered_sql(spark, sf, con):
         assert ok, why
 
 
+def cut_repeats(texts):
+    """Brute force: words covered by 50 equal words in a row that also start in a smaller document go."""
+    at = {d: list(re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(t))) for d, t in texts.items()}
+    w = {d: [m[0] for m in x] for d, x in at.items()}
+    first = {}
+    for d in sorted(w):
+        for i in range(len(w[d]) - 49):
+            first.setdefault(tuple(w[d][i: i + 50]), d)
+    out = {}
+    for d, x in w.items():
+        gone = sorted({p for i in range(len(x) - 49) if first[tuple(x[i: i + 50])] < d for p in range(i, i + 50)})
+        kept, last = "", 0
+        for p in gone:
+            if p - 1 not in gone:
+                kept += texts[d][last: at[d][p].start()]
+            last = at[d][p].end()
+        out[d] = kept + texts[d][last:]
+    return {d: t for d, t in out.items() if t.strip(" ")}
+
+
 def test_pipeline(spark, docs, corpus, tmp_path):
-    """run() against the stages' rules applied by hand."""
+    """run() against a brute-force version of its five stages."""
     import corpus_pipeline as cp
+    import public_tokenizers
+    import tiktoken
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     bench = " ".join(words(corpus[20][1])[:12])
     spark.createDataFrame([(1, bench)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
@@ -301,9 +323,62 @@ def test_pipeline(spark, docs, corpus, tmp_path):
     table = spark.read.parquet(str(tmp_path / "documents.parquet"))
     kept = cp.language_id(spark, table, str(tmp_path))
     assert kept.columns == cp.COLUMNS
-    ids = {r.doc_id for r in kept.collect()}
-    assert {d for d, t in corpus if not any(c.isalpha() for c in t or "")}.isdisjoint(ids)
-    once = {r.doc_id for r in cp.simhash_dedup(spark, table, str(tmp_path)).collect()}
-    assert 3 in once and not {60, 61} & once
+    want = {d: t for d, t in corpus if any(c.isalpha() for c in t or "")}
+    assert {r.doc_id: r.text for r in kept.collect()} == want
+    fp = {}
+    for d, t in want.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", low(t))
+        h = [xxhash.xxh64_intdigest(" ".join(w[i: i + 4]), 42) for i in range(max(1, len(w) - 3))] if w else []
+        fp[d] = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+    comp = components_of(fp, [(a, b) for a in fp for b in fp if a < b and (fp[a] ^ fp[b]).bit_count() <= 4])
+    want = {d: t for d, t in want.items() if comp[d] == d}
+    once = cp.simhash_dedup(spark, kept, str(tmp_path))
+    assert once.columns == cp.COLUMNS and {r.doc_id: r.text for r in once.collect()} == want
+    assert 3 in want and not {60, 61} & set(want)
+    want = cut_repeats(want)
+    cut = cp.substring_dedup(spark, once, str(tmp_path))
+    assert cut.columns == cp.COLUMNS and {r.doc_id: (r.text, r.n_chars) for r in cut.collect()} == {d: (t, len(t)) for d, t in want.items()}
+    grams = {tuple(bench.split()[i: i + 10]) for i in range(3)}
+    want = {d: t for d, t in want.items() if not any(tuple(words(t)[i: i + 10]) in grams for i in range(len(words(t)) - 9))}
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    enc = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     out = by_id(cp.run(spark, str(tmp_path)))
-    assert 20 not in out and 3 in out and 60 not in out and all(r.n_tokens == len(r.ids) for r in out.values())
+    assert {d: r.ids for d, r in out.items()} == {d: enc.encode_ordinary(t) for d, t in want.items()} and 20 not in out
+
+
+def test_pipeline_of_no_documents(spark, no_docs, tmp_path):
+    import corpus_pipeline as cp
+    no_docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_null_ids_and_repeated_rows(spark, docs, corpus):
+    """Every operator on texts gives its defined result for rows that repeat and rows without an id; clashing names do not matter."""
+    import corpus_pipeline as cp
+    import public_tokenizers
+    from genoframe.llm import bpe, compact_windows, decontaminate, langid, license_scan, ngram_lm, simhash, suffix_dedup
+    n, cols = len(corpus), docs.columns
+    loose = docs.where("doc_id in (5, 63, 69)").selectExpr("CAST(NULL AS bigint) AS doc_id", *cols[1:])
+    odd = docs.union(docs.where("doc_id in (3, 63, 64, 69)")).union(loose)
+    total = n + 7
+    bench = spark.createDataFrame([(1, " ".join(words(corpus[20][1])[:12])), (None, None), (2, "")], "item_id bigint, text string")
+    got = suffix_dedup.remove_repeats(odd).collect()
+    assert len(got) == total and all(r.n_removed == 0 for r in got if r.doc_id is None)
+    assert sorted(r.n_removed for r in got if r.doc_id == 63) == [0, 0]
+    assert license_scan.scan(odd).count() == bpe.encode(odd, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).count() == total
+    assert langid.predict(odd, None).count() == ngram_lm.score(odd).count() == decontaminate.scan(odd, bench).count() == total
+    passages = compact_windows.near_duplicate_passages(odd).collect()
+    assert len(passages) == n + 1 and [r.class_id for r in passages if r.doc_id is None] == [None]
+    marks = simhash.near_duplicates(odd).collect()
+    assert len(marks) == n + 3 and all(r.component_id is None for r in marks if r.doc_id is None)
+    clash = odd.withColumnsRenamed({"chunk": "_doc", "key": "may", "fp": "row", "source": "spans"})
+    cut = compact_windows.remove_passages(clash)
+    assert cut.columns == clash.columns and cut.count() == total
+    assert decontaminate.remove_spans(docs.withColumnsRenamed({"chunk": "k", "key": "t", "fp": "row", "source": "spans"}), bench).count() == n
+    left = decontaminate.remove_documents(clash, bench)
+    assert left.columns == clash.columns and left.count() == total - 1
+    kept = cp.simhash_dedup(spark, odd, "").collect()
+    ids = [r.doc_id for r in kept if r.doc_id is not None]
+    assert len(ids) == len(set(ids)) and sum(r.doc_id is None for r in kept) == 3 and {3, 63} <= set(ids)
