@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genoframe.llm.frames import checkpointed, id_and_text, shuffle_partitions
+from genoframe.llm.frames import checkpointed, id_and_text, materialised, shuffle_partitions
 from genoframe.llm.graph import components
 from genoframe.llm.textbuf import LOWER, NON_SPACE, chunks, mix
 
@@ -209,10 +209,14 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str =
     of documents whose id is not repeated are not aggregated.
     """
     got = near_duplicates(docs, shingle, max_bits, id_col, text_col).where("doc_id is not null")
-    gone = checkpointed(got.groupBy("doc_id").agg(F.bool_and(F.col("doc_id") != F.col("component_id")).alias("gone")).where("gone")
-                        .select(F.col("doc_id").alias(id_col)))
-    again = checkpointed(docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(id_col))
+    gone = got.groupBy("doc_id").agg(F.bool_and(F.col("doc_id") != F.col("component_id")).alias("gone")).where("gone")
+    again = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("bigint").alias("doc_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written tables have a known size, so that a small one is broadcast and no text is shuffled for it
+    gone = materialised(gone.select(F.col("doc_id").alias(id_col)), "simhash-gone")
+    again = materialised(again.select(F.col("doc_id").alias(id_col)), "simhash-again")
     left = docs.join(gone, id_col, "left_anti").select(docs.columns)
+    if not again.take(1):
+        return left
     others = [c for c in docs.columns if c != id_col]
     many = (left.join(again, id_col, "left_semi").select(F.col(id_col), F.struct(*[F.col(c) for c in others]).alias("rest"))
             .groupBy(id_col).agg(F.min("rest").alias("rest")).select(id_col, "rest.*"))
