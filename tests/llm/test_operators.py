@@ -104,6 +104,27 @@ def test_passages(docs, corpus, no_docs, spark):
     assert by_id(compact_windows.near_duplicate_passages(near))[2].n_repeated >= 280
 
 
+def test_passages_past_the_smallest_holder(spark):
+    """Two smaller documents quote parts, under 50 words each, of a passage that two later documents share."""
+    from genoframe.llm import compact_windows
+    rng = np.random.default_rng(8)
+    rows, want = [], {}
+
+    def fresh(n):
+        return [f"w{x}" for x in rng.integers(0, 10 ** 9, n)]
+    for k in range(40):
+        passage, at = fresh(60), 10 * k
+        rows += [(at, " ".join(fresh(60) + passage[:40] + fresh(60))), (at + 1, " ".join(fresh(60) + passage[20:] + fresh(60))),
+                 (at + 2, " ".join(fresh(60) + passage + fresh(60))), (at + 3, " ".join(fresh(30) + passage + fresh(90)))]
+        want[at + 3] = (at + 2, 30, 90)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = by_id(compact_windows.near_duplicate_passages(df))
+    for d, (other, lo, hi) in want.items():
+        assert got[d].class_id == other and got[d].other_ids == [other], d
+        assert any(s.lo <= lo and s.hi >= hi for s in got[d].spans), d
+        assert got[d - 3].n_links == got[d - 2].n_links == got[d - 1].n_links == 0
+
+
 def test_license_scan(docs, corpus, no_docs):
     from genoframe.llm import license_scan
     got = by_id(license_scan.scan(docs))
