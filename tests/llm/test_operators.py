@@ -125,6 +125,30 @@ def test_passages_past_the_smallest_holder(spark):
         assert got[d - 3].n_links == got[d - 2].n_links == got[d - 1].n_links == 0
 
 
+def test_near_copies_with_an_edit_near_an_edge():
+    """verify() against every pair of stretches of 50 words, for each place of the edit."""
+    import pyarrow as pa
+    from genoframe.llm import compact_windows as cw
+    from genoframe.llm.textbuf import string_parts
+    rng = np.random.default_rng(9)
+
+    def fresh(n):
+        return [f"w{x}" for x in rng.integers(0, 10 ** 9, n)]
+    for before, after in [(30, 30), (0, 20), (20, 0), (0, 0)]:
+        for edit in range(-1, 50):
+            passage = fresh(50)
+            changed = [*passage[:edit], *fresh(1), *passage[edit + 1:]] if edit >= 0 else passage[:44] + fresh(6)
+            a, b = fresh(before) + changed + fresh(after), fresh(after) + passage + fresh(before)
+            (x, u), (y, v) = (cw._tokens_and_words(*string_parts(pa.array([" ".join(t)]))) for t in (a, b))
+            must = any(cw._jaccard(x[i: i + 46], y[j: j + 46]) >= 0.8 for i in range(len(x) - 45) for j in range(len(y) - 45)
+                       if abs((i - before) - (j - after)) <= 5)
+            got = cw.verify(x, y, 46, 0.8, u, v)
+            assert bool(got) == must and must == (edit >= 0), (before, edit)
+            assert all(q - p + 1 >= 46 for p, q in got)
+            if 0 < edit < 49:
+                assert got == [(before, before + 45)], (before, edit)
+
+
 def test_license_scan(docs, corpus, no_docs):
     from genoframe.llm import license_scan
     got = by_id(license_scan.scan(docs))
