@@ -45,7 +45,12 @@ OUTER = frozenset(["header", "topbar"])
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th figcaption b i em strong a span code ol ul dl tbody table tr u small sub sup q cite mark".split())
 
 TOKEN = re.compile(r"""<!--(?:.*?-->|.*)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attr>(?:[^>"']|"[^"]*"|'[^']*')*|[^>]*)>""", re.S)
-ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|$)""", re.I)
+ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+#: Elements that hold the page or the article: label words on them speak of the layout.
+WHOLE = frozenset("html body main article".split())
+#: First and last parts of classes that tell a state (has-sidebar, comments-open); such a class counts as a whole only.
+STATE_FIRST = frozenset("has no with without is not hide show".split())
+STATE_LAST = frozenset("open opened closed enabled disabled active inactive visible allowed layout".split())
 NO_WORDS: frozenset = frozenset()
 
 
@@ -56,14 +61,17 @@ def _labels(attr: str) -> tuple[str, set[str], bool]:
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name in ("class", "id"):
             css += f" {value}"
-            words.update(re.split(r"[\s_:-]+", value))
+            for token in value.split():
+                parts = re.split(r"[_:-]+", token)
+                state = len(parts) > 1 and (parts[0] in STATE_FIRST or parts[-1] in STATE_LAST)
+                words.update([token] if state else parts)
         elif name == "role":
             gone |= value in ROLES
         elif name == "hidden":
             gone = True
         elif name == "aria-hidden":
             gone |= value == "true"
-        else:
+        elif name == "style":
             gone |= "display:none" in value.replace(" ", "")
     return css, words, gone
 
@@ -104,7 +112,7 @@ class Page:
         css, words, gone = _labels(attr) if attr else ("", NO_WORDS, False)
         article = up.article or (tag == "article" and not up.gone)
         main = up.main or tag == "main" or "main" in words
-        gone = gone or up.gone or tag in FURNITURE or bool(words & LABELS) or (not article and (tag in OUTER or bool(words & OUTER)))
+        gone = gone or up.gone or tag in FURNITURE or (tag not in WHOLE and bool(words & LABELS)) or (not article and tag not in WHOLE and (tag in OUTER or bool(words & OUTER)))
         if tag == "article" and gone:
             article = up.article
         # a subtree may be template unless it is the page, the article, or prose of the article

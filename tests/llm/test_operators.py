@@ -262,6 +262,23 @@ def test_html(spark):
     assert html_template.extract(df.where("page_id < 0")).count() == 0
 
 
+def test_html_labels_of_whole_elements_and_attribute_names(spark):
+    from genoframe.llm import html_template
+    body = "<article><h1>T</h1><p>One two three</p></article>"
+    pages = [f"<body class='{c}'>{body}</body>" for c in ("has-sidebar", "no-sidebar", "comments-open", "right-sidebar", "nav menu", "header")]
+    pages += [f"<html class=cookie><body>{body}", f"<main class=related>{body}</main>", body.replace("<article>", "<article class='post share'>"),
+              f"<div class='page has-sidebar comments-open'>{body}</div>", body.replace("<p>", "<p title='the hidden valley'>"),
+              body.replace("<p>", "<div data-id='menu'>").replace("</p>", "</div>"), body.replace("<p>", "<p data-style='display:none' data-role=form>"),
+              body.replace("two", "<a href='/hidden/gems'>two</a>"), body.replace("two", "<a href=/hidden/gems>two</a>")]
+    gone = ["hidden", "HIDDEN=''", "class=ad", "class='ad-slot big'", "id=sidebar_left", "role='navigation'", "aria-hidden=true", "style='display: none'"]
+    pages += [body.replace("<p>", f"<p title='a = b' {g}>") for g in gone]
+    df = spark.createDataFrame([(i, None, p) for i, p in enumerate(pages)], "page_id bigint, url string, html string")
+    got = by_id(html_template.extract(df), "page_id")
+    n = len(pages) - len(gone)
+    for i, p in enumerate(pages):
+        assert got[i].text == ("T\nOne two three" if i < n else "T"), p
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_decontamination(spark, docs, corpus, no_docs, small, monkeypatch):
     from genoframe.llm import decontaminate
