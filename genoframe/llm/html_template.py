@@ -182,12 +182,15 @@ class Page:
 def main_text(blocks, template: set[int]) -> str:
     """Blocks that are neither template nor furniture: of the article, else of the main part, else of the page.
 
+    Template does not take all of an article or main part: if it would, they stay whole.
     ``blocks`` are ``(text, subtree hashes, furniture, in article, in main)``.
     """
-    left = [b for b in blocks if not b[2] and not template.intersection(b[1])]
+    own = [b for b in blocks if not b[2]]
+    left = [b for b in own if not template.intersection(b[1])]
     for k in (3, 4):
-        if any(b[k] for b in blocks if not b[2]):
-            left = [b for b in left if b[k]]
+        inside = [b for b in own if b[k]]
+        if inside:
+            left = [b for b in left if b[k]] or inside
             break
     return "\n".join(b[0] for b in left)
 
@@ -196,11 +199,12 @@ _BLOCK = pa.struct([("text", pa.string()), ("trees", pa.list_(pa.int64())), ("fu
 
 
 _COLUMNS = {"blocks": ("array<struct<text:string,trees:array<bigint>,furniture:boolean,article:boolean,main:boolean>>", pa.list_(_BLOCK)),
-            "trees": ("array<bigint>", pa.list_(pa.int64()))}
+            "trees": ("struct<content:bigint,hashes:array<bigint>>", pa.struct([("content", pa.int64()), ("hashes", pa.list_(pa.int64()))]))}
 
 
 def parse(pages: DataFrame, want: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``page_id, url, host`` and, as wanted, ``blocks`` (text blocks with their subtrees) or ``trees`` (the page's distinct subtree hashes)."""
+    """``page_id, url, host`` and, as wanted, ``blocks`` (text blocks with their subtrees) or ``trees`` (a hash of the
+    page's content and its distinct subtree hashes)."""
     def run(batches):
         for rb in batches:
             for at in range(0, rb.num_rows, 256):
@@ -212,7 +216,9 @@ def parse(pages: DataFrame, want: str, id_col: str = "page_id", url_col: str = "
                         out.append([{"text": t, "trees": [page.hashes[i] for i in up], "furniture": g, "article": a, "main": m}
                                     for t, up, g, a, m in page.blocks])
                     else:
-                        out.append(sorted({h for h in page.hashes if h}))
+                        hashes = sorted({h for h in page.hashes if h})
+                        content = xxhash.xxh64_intdigest(f"{[b[0] for b in page.blocks]}\x01{hashes}") - (1 << 63)
+                        out.append({"content": content, "hashes": hashes})
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, _COLUMNS[want][1])], ["page_id", "url", want])
 
     src = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
@@ -222,10 +228,11 @@ def parse(pages: DataFrame, want: str, id_col: str = "page_id", url_col: str = "
 
 
 def template_subtrees(hashed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """``host, tree, n_pages`` of the subtrees that recur on many pages of their host."""
-    trees = (hashed.where("host is not null").select("host", F.explode("trees").alias("tree"))
+    """``host, tree, n_pages`` of the subtrees that recur on many pages of their host; pages of one content count once."""
+    once = hashed.where("host is not null").dropDuplicates(["host", "content"])
+    trees = (once.select("host", F.explode("trees").alias("tree"))
              .groupBy("host", "tree").agg(F.count(F.lit(1)).alias("n_pages")).where(F.col("n_pages") >= min_pages))
-    hosts = hashed.where("host is not null").groupBy("host").agg(F.count(F.lit(1)).alias("n_host")).where(F.col("n_host") >= min_pages)
+    hosts = hashed.where("host is not null").select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_host")).where(F.col("n_host") >= min_pages)
     return trees.join(hosts, "host").where(F.col("n_pages") >= min_share * F.col("n_host")).select("host", "tree", "n_pages")
 
 
@@ -236,10 +243,11 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     ``text`` holds the main text's blocks joined by a newline (empty if there is none),
     ``n_template`` the number of recurring subtrees found on the page. Null or empty html has no
     text; a null or malformed url has no host, so no subtree of such a page recurs. Repeated
-    rows each give a row (and count as pages); other columns are not read.
+    rows each give a row; rows of one content count as one page of their host. Other columns are not read.
     """
     parsed = parse(pages, "blocks", id_col, url_col, html_col)
-    hashed = checkpointed(parse(pages, "trees", id_col, url_col, html_col).select("page_id", "host", "trees"))
+    hashed = checkpointed(parse(pages, "trees", id_col, url_col, html_col)
+                          .select("page_id", "host", "trees.content", F.col("trees.hashes").alias("trees")))
     template = template_subtrees(hashed, min_pages, min_share)
     on_page = (hashed.where("host is not null").select("page_id", "host", F.explode("trees").alias("tree"))
                .join(template.select("host", "tree"), ["host", "tree"])

@@ -279,6 +279,19 @@ def test_html_labels_of_whole_elements_and_attribute_names(spark):
         assert got[i].text == ("T\nOne two three" if i < n else "T"), p
 
 
+def test_html_copies_of_a_page_are_one_page(spark):
+    from genoframe.llm import html_template
+    one = "<div class=c><section><p>The only text</p></section></div>"
+    pages = [(i, f"http://a.example/?utm={i}", one) for i in range(5)] + [(5, "http://a.example/", "<p>Other</p>")]
+    pages += [(10 + i, "http://b.example/", f"<article>{one}</article><div>seen {i} times</div>") for i in range(6)]
+    pages += [(20 + i, "http://c.example/", f"<main>{one}</main><p>{i}</p>") for i in range(6)]
+    pages += [(30 + i, "http://d.example/", f"{one}<p>page {i}</p>") for i in range(6)]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    got = by_id(html_template.extract(df), "page_id")
+    for i, _, _ in pages:
+        assert got[i].text == ("Other" if i == 5 else f"page {i - 30}" if i >= 30 else "The only text"), i
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_decontamination(spark, docs, corpus, no_docs, small, monkeypatch):
     from genoframe.llm import decontaminate
