@@ -137,6 +137,42 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.round("mean_log_score", 4).alias("mean_log_score"))
 
 
+OP6_ORDER3_SQL = f"""
+WITH doc AS (SELECT doc_id, {_DUCK_WORDS.format(t='text')} AS w FROM documents),
+tok AS (SELECT doc_id, least(i, 3) AS m, w[i] AS a, CASE WHEN i > 1 THEN w[i - 1] END AS p, CASE WHEN i > 2 THEN w[i - 2] END AS q
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM doc)),
+u AS (SELECT a, count(*) AS n FROM tok GROUP BY a), ud AS (SELECT doc_id, a, count(*) AS n FROM tok GROUP BY doc_id, a),
+b AS (SELECT p, a, count(*) AS n FROM tok WHERE m > 1 GROUP BY p, a),
+bd AS (SELECT doc_id, p, a, count(*) AS n FROM tok WHERE m > 1 GROUP BY doc_id, p, a),
+t AS (SELECT q, p, a, count(*) AS n FROM tok WHERE m > 2 GROUP BY q, p, a),
+td AS (SELECT doc_id, q, p, a, count(*) AS n FROM tok WHERE m > 2 GROUP BY doc_id, q, p, a),
+tot AS (SELECT count(*) AS n FROM tok),
+x AS (SELECT tok.doc_id, tok.m, u.n - ud.n AS cu, coalesce(b.n - bd.n, 0) AS cb, up.n - upd.n AS cp, coalesce(t.n - td.n, 0) AS ct,
+             bp.n - bpd.n AS cq, greatest(tot.n - len(doc.w), 1) AS n
+      FROM tok JOIN doc USING (doc_id) CROSS JOIN tot JOIN u ON u.a = tok.a JOIN ud ON ud.doc_id = tok.doc_id AND ud.a = tok.a
+      LEFT JOIN b ON b.p = tok.p AND b.a = tok.a LEFT JOIN bd ON bd.doc_id = tok.doc_id AND bd.p = tok.p AND bd.a = tok.a
+      LEFT JOIN u up ON up.a = tok.p LEFT JOIN ud upd ON upd.doc_id = tok.doc_id AND upd.a = tok.p
+      LEFT JOIN t ON t.q = tok.q AND t.p = tok.p AND t.a = tok.a
+      LEFT JOIN td ON td.doc_id = tok.doc_id AND td.q = tok.q AND td.p = tok.p AND td.a = tok.a
+      LEFT JOIN b bp ON bp.p = tok.q AND bp.a = tok.p LEFT JOIN bd bpd ON bpd.doc_id = tok.doc_id AND bpd.p = tok.q AND bpd.a = tok.p),
+l AS (SELECT *, CASE WHEN m > 2 AND ct > 0 THEN 3 WHEN m > 1 AND cb > 0 THEN 2 WHEN cu > 0 THEN 1 ELSE 0 END AS k FROM x),
+s AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE k < m) AS n_backoff,
+             sum((m - k) * ln(0.4) + CASE k WHEN 3 THEN ln(ct) - ln(cq) WHEN 2 THEN ln(cb) - ln(cp) WHEN 1 THEN ln(cu) - ln(n) ELSE -ln(n) END) AS t
+      FROM l GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_backoff, 0) AS BIGINT) AS n_backoff,
+       round(coalesce(s.t, 0), 4) AS log_score, round(s.t / n_words, 4) AS mean_log_score
+FROM doc LEFT JOIN s USING (doc_id)
+"""
+
+
+@query("op6_lm_scoring_order3", OP6_ORDER3_SQL)
+def op6_order3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from genoframe.llm import ngram_lm
+    out = ngram_lm.score(table(spark, sf_dir, "documents"), order=3)
+    return out.select("doc_id", "n_words", "n_backoff", F.round("log_score", 4).alias("log_score"),
+                      F.round("mean_log_score", 4).alias("mean_log_score"))
+
+
 @query("op2_substring_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from genoframe.llm import compact_windows

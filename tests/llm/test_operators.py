@@ -366,6 +366,16 @@ def test_registered_sql(spark, sf, con):
         assert ok, why
 
 
+def test_lm_scoring_of_order_three(spark, sf, con):
+    """Two steps of back-off are registered and agree with SQL."""
+    from genoframe.llm.queries import all_queries
+    from genoframe.plans.verify import compare
+    queries, sql = all_queries()
+    name = "op6_lm_scoring_order3"
+    ok, why = compare(spark, name, sf, queries[name], sql[name], con)
+    assert ok, why
+
+
 def cut_repeats(texts):
     """Brute force: words covered by 50 equal words in a row that also start in a smaller document go."""
     at = {d: list(re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(t))) for d, t in texts.items()}
