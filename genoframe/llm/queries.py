@@ -177,3 +177,10 @@ def op6_order3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from genoframe.llm import compact_windows
     return compact_windows.near_duplicate_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op13_bpe_encoding")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from genoframe.llm import spec_bpe
+    return spec_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False)
