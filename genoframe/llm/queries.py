@@ -184,3 +184,11 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from genoframe.llm import spec_bpe
     return spec_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False)
+
+
+@query("op11_cross_tokenizer_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from genoframe.llm import token_align
+    return token_align.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"), keep_groups=False)
