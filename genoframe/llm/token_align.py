@@ -13,7 +13,7 @@ import hashlib
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +24,9 @@ from genoframe.llm.frames import id_and_text, materialised
 from genoframe.llm.spec_bpe import gather, tokenizer
 
 #: Documents and characters of a block, characters of one step inside it.
-BLOCK_DOCS, BLOCK_CHARS, STEP_CHARS = 1 << 16, 1 << 23, 1 << 21
+BLOCK_DOCS, BLOCK_CHARS, STEP_CHARS = 1 << 16, 1 << 23, 1 << 20
 #: A worker process keeps so many text units (and units of so many characters) from step to step.
-KEPT_UNITS, KEPT_CHARS = 400_000, 1 << 23
+KEPT_UNITS, KEPT_CHARS = 300_000, 1 << 23
 #: Pair scores of up to so many rows (16 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_PAIRS = 1 << 21
 
@@ -78,15 +78,28 @@ class Aligner:
         self.counts = np.zeros((0, 4), dtype=np.int64)          # n_a, n_b, n_groups, whether the bytes are the text's
         self.links, self.links_at = np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
 
+    def _encode_a(self, spaced: list[str], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids of units and their offsets. Units that do not end in white space may stand side by side in one text."""
+        joined = np.array([not u[-1].isspace() for u in spaced], dtype=bool)
+        ids, _ = self.a.encode_texts(["".join([u for u, j in zip(spaced, joined) if j])], with_special=False)
+        off = np.concatenate([[0], np.searchsorted(np.cumsum(self.a.length[ids]), np.cumsum(size[joined])) + 1])
+        if joined.all():
+            return ids, off
+        more, more_off = self.a.encode_texts([u for u, j in zip(spaced, joined) if not j], with_special=False)
+        row = np.empty(len(spaced), dtype=np.int64)
+        row[joined], row[~joined] = np.arange(joined.sum()), joined.sum() + np.arange((~joined).sum())
+        place, out = gather(np.concatenate([off, off[-1] + more_off[1:]]), row)
+        return np.concatenate([ids, more])[place], out
+
     def _learn(self, units: list[str]) -> None:
         """Tokens, groups and links of units (without their leading space) not met before."""
         spaced = [" " + u for u in units]
-        ids_a, off_a = self.a.encode_texts(spaced, with_special=False)
+        want = [u.encode() for u in spaced]
+        ids_a, off_a = self._encode_a(spaced, np.array([len(w) for w in want]))
         lists = self.b.encode(units, num_threads=1)
         lists = [self.space_b if u == "" else got for u, got in zip(units, lists)]
         off_b = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
-        ids_b = np.fromiter((t for x in lists for t in x), dtype=np.int64, count=off_b[-1])
-        want = [u.encode() for u in spaced]
+        ids_b = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=off_b[-1])
         raw_a, raw_b = self.a.decode_bytes(ids_a), self.blob_b[gather(self.start_b, ids_b)[0]].tobytes()
         end_a = np.concatenate([[0], np.cumsum(self.a.length[ids_a])])
         end_b = np.concatenate([[0], np.cumsum(self.length_b[ids_b])])
@@ -126,7 +139,7 @@ class Aligner:
         new = list(islice(self.number, known, None))
         if new:
             self._learn(new)
-        which = np.fromiter((u for x in units for u in x), dtype=np.int64)
+        which = np.fromiter(chain.from_iterable(units), dtype=np.int64)
         first = np.concatenate([[0], np.cumsum([len(x) for x in units])])[:-1]
         counts = self.counts[which]
         told = np.concatenate([np.add.reduceat(counts[:, :3], first), np.minimum.reduceat(counts[:, 3:], first)], axis=1)
