@@ -1,15 +1,12 @@
 """Association analyses on sparse genotypes.
 
 * ST-3 ``standardize``: covariate z-scores (one global aggregate, literals).
-* ST-6 ``null_model``: phenotype ~ covariates per phenotype (grouped pandas fit,
-  one group = one phenotype's samples, bounded by the cohort size).
+* ST-6 ``null_model``: phenotype ~ covariates per phenotype, by iterated aggregates (``nullmodel``).
 * ST-4 ``glm_linear``: per-variant OLS from *sufficient statistics*.  Hom-ref
   samples never materialise: C'C, C'y, y'y are per-phenotype totals minus the
   variant's missing-call rows; g'C, g'g, g'y are sums over carrier rows.  One
   ``groupBy(pheno, v)`` aggregation, then a batched 8x8 solve per row.
-* ST-5 ``glm_logistic``: per-variant logistic regression with Firth fallback.
-  IRLS needs every sample, so each task holds the sample design matrix and fits
-  variants in blocks, densified from their carrier rows.
+* ST-5 ``glm_logistic``: per-variant logistic regression with Firth fallback, in blocks of samples and variants (``logistic``).
 """
 
 from __future__ import annotations
@@ -22,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genoframe.operators.joins import broadcast_if_small
+from genoframe.plans import nullmodel as nl
 from genoframe.plans import numerics as nm
 
 
@@ -54,36 +52,17 @@ def binary_kind(mf: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ ST-6 null model
 def null_model(mf: DataFrame, cov_names: Sequence[str], key: str = "sample_id") -> DataFrame:
-    """ST-6: fit y ~ 1 + covariates per phenotype.
+    """ST-6: fit y ~ 1 + covariates per phenotype, by sums over the whole frame (see ``nullmodel``).
 
     Returns (pheno, sample_id, kind, mu, resid, var_w): for a continuous trait the
     residual is scaled by 1/sigma and var_w = 1; for a binary trait resid = y - mu
     and var_w = mu(1 - mu).  Score statistics G'resid then have covariance G'PG
-    with P built from v, with no further division by sigma^2.
+    with P built from v, with no further division by sigma^2. A phenotype whose model cannot be fitted
+    gives one row with nulls.
     """
     cov = list(cov_names)
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf["y"].to_numpy(float)
-        X = np.column_stack([np.ones(len(pdf)), pdf[cov].to_numpy(float)]) if cov else np.ones((len(pdf), 1))
-        binary = set(np.unique(y)) <= {0.0, 1.0} and len(np.unique(y)) == 2
-        if binary:
-            beta, _, ok = nm.logistic_irls(X, y)
-            if not ok:
-                beta, _, _ = nm.logistic_firth(X, y)
-            mu = 1 / (1 + np.exp(-np.clip(X @ beta, -30, 30)))
-            resid, v = y - mu, mu * (1 - mu)
-        else:
-            beta, r, s2 = nm.linear_fit(X, y)
-            mu = X @ beta
-            resid, v = r / np.sqrt(s2), np.ones_like(y)
-        return pd.DataFrame({"pheno": pdf["pheno"].to_numpy(), key: pdf[key].to_numpy(),
-                             "kind": "binary" if binary else "continuous",
-                             "mu": mu, "resid": resid, "var_w": v})
-
-    schema = f"pheno string, {key} string, kind string, mu double, resid double, var_w double"
-    ok = mf.join(valid_phenotypes(mf), "pheno", "left_semi")
-    return ok.groupBy("pheno").applyInPandas(fit, schema)
+    mf = nl.prepared(mf.select("pheno", key, "y", *cov))
+    return nl.null_frame(mf, nl.fit_null(mf, cov), cov, [key])
 
 
 # ------------------------------------------------------------------ ST-4 linear, sufficient statistics
@@ -174,80 +153,12 @@ def glm_linear(genotypes: DataFrame, mf: DataFrame, cov_names: Sequence[str],
 
 
 # ------------------------------------------------------------------ ST-5 logistic + Firth
-#: Genotype cells (variants x samples) that one step of the batched fit holds.
-FIT_CELLS = 1 << 21
-
-
 def glm_logistic(genotypes: DataFrame, mf: DataFrame, cov_names: Sequence[str],
                  key: str = "sample_id", vkey: str = "v") -> DataFrame:
-    """ST-5: logistic regression per (binary phenotype, variant) with Firth fallback.
+    """ST-5: logistic regression per (binary phenotype, variant) with Firth fallback (see ``logistic``).
 
-    Each task holds the design (one row a sample: covariates and phenotypes, 8 bytes each) and
-    fits the variants of its partition in blocks of ``FIT_CELLS`` genotypes; a variant whose plain
-    fit fails or diverges is fitted again with Firth's penalty. Phenotypes that are not 0/1 and variants
-    without variation among a phenotype's samples give no row.
+    Phenotypes that are not 0/1 and variants without variation among a phenotype's samples give no row.
     Output: pheno, v, n, firth, beta (log OR), or, se, z_stat, p.
     """
-    cov = list(cov_names)
-    names = sorted(r["pheno"] for r in binary_kind(mf).where(F.col("kind") == "binary").collect())
-    schema = (f"pheno string, {vkey} bigint, n bigint, firth boolean, beta double, or double, se double, "
-              "z_stat double, p double")
-    if not names:
-        return genotypes.sparkSession.createDataFrame([], schema)
-    design = mf.groupBy(key, *cov).pivot("pheno", names).agg(F.first("y")).orderBy(key).toPandas()
-    idx = {s: i for i, s in enumerate(design[key])}
-    X = design[cov].to_numpy(float)
-    Y = design[names].to_numpy(float)
-    bc = genotypes.sparkSession.sparkContext.broadcast((idx, X, Y))
-    columns = ["pheno", vkey, "n", "firth", "beta", "or", "se", "z_stat", "p"]
-
-    def fit_block(vs, rows_i, rows_v, dosage):
-        """Fit some variants; rows_i / rows_v place each dosage in the samples x variants grid."""
-        _, X_, Y_ = bc.value
-        g = np.zeros((len(vs), len(X_)))
-        g[rows_v, rows_i] = dosage
-        out = []
-        for j, ph in enumerate(names):
-            of = ~np.isnan(Y_[:, j])
-            gp, x, y = g[:, of], X_[of], Y_[of, j]
-            known = ~np.isnan(gp)
-            lo, hi = np.where(known, gp, np.inf).min(axis=1), np.where(known, gp, -np.inf).max(axis=1)
-            varies = np.flatnonzero(hi > lo)
-            beta, se, ok = nm.logistic_batch(x, gp[varies], y)
-            n = known[varies].sum(axis=1)
-            firth = ~ok
-            for r in np.flatnonzero(firth):
-                m = known[varies[r]]
-                b, cm, _ = nm.logistic_firth(np.column_stack([np.ones(m.sum()), gp[varies[r]][m], x[m]]), y[m])
-                if cm is not None:
-                    beta[r], se[r] = b[1], np.sqrt(cm[1, 1])
-            z = beta / se
-            out.append(pd.DataFrame({"pheno": ph, vkey: vs[varies], "n": n, "firth": firth, "beta": beta, "or": np.exp(beta), "se": se,
-                                     "z_stat": z, "p": [nm.normal_two_sided_p(q) for q in z]}))
-        return pd.concat(out, ignore_index=True)[columns]
-
-    def fit(it):
-        """Rows arrive sorted by variant; the last variant of a batch may go on in the next."""
-        idx_ = bc.value[0]
-        step = max(1, FIT_CELLS // max(1, len(idx_)))
-
-        def blocks(pdf):
-            pos = pdf[key].map(idx_)
-            vs, of = np.unique(pdf[vkey].to_numpy(), return_inverse=True)
-            d, known = pdf["dosage"].to_numpy(float), pos.notna().to_numpy()
-            for at in range(0, len(vs), step):
-                m = known & (of >= at) & (of < at + step)
-                yield fit_block(vs[at: at + step], pos[m].to_numpy(int), of[m] - at, d[m])
-
-        carry = None
-        for pdf in it:
-            pdf = pdf if carry is None else pd.concat([carry, pdf], ignore_index=True)
-            if len(pdf):
-                last = (pdf[vkey] == pdf[vkey].iloc[-1]).to_numpy()
-                carry = pdf[last]
-                yield from blocks(pdf[~last])
-        if carry is not None:
-            yield from blocks(carry)
-
-    rows = genotypes.select(vkey, key, "dosage").repartition(vkey).sortWithinPartitions(vkey)
-    return rows.mapInPandas(fit, schema)
+    from genoframe.plans.logistic import fit_blocks
+    return fit_blocks(genotypes, mf, cov_names, key, vkey)

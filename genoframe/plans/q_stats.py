@@ -12,6 +12,8 @@ from genoframe.operators import reshape as ors
 from genoframe.operators import sites as osi
 from genoframe.plans import assoc as st
 from genoframe.plans import curvefit as cf
+from genoframe.plans import logistic as lg
+from genoframe.plans import nullmodel as nl
 from genoframe.plans import pca as pc
 from genoframe.plans import products as pr
 from genoframe.plans import settest as sk
@@ -157,6 +159,12 @@ def st05(spark, d):
     return st.glm_logistic(maf_filtered(spark, d, cohort_genotypes(spark, d)), model_frame(spark, d), COVS)
 
 
+@register("st05c_logistic_screened")
+def st05c(spark, d):
+    """Score test with saddlepoint tails for every variant, full fits where its p is 0.05 or less."""
+    return lg.screened(maf_filtered(spark, d, cohort_genotypes(spark, d)), model_frame(spark, d), COVS, screen_p=0.05)
+
+
 # ------------------------------------------------------------------ ST-6 null model
 @register("st06_null_model_intercept", """
 , yv AS (SELECT sample_id, round(quant / 1000.0, 6) AS y FROM pheno)
@@ -174,6 +182,43 @@ def st06b(spark, d):
     return st.null_model(model_frame(spark, d), COVS)
 
 
+#: Long phenotypes as the model frame reads them (values of the traits recoded to 0/1, and QT).
+LONG_SQL = """
+, ps AS (""" + PSAM_SQL.strip() + """)
+, long AS (""" + " UNION ALL ".join(f"SELECT sample_id, '{t}' AS pheno, CAST(\"{t}\" AS DOUBLE) - 1 AS y FROM ps WHERE \"{t}\" IN (1, 2)" for t in PSAM_CODES) + """
+           UNION ALL SELECT sample_id, 'QT', round(quant / 1000.0, 6) FROM pheno)
+, ok AS (SELECT pheno, count(*) AS n, sum(y) AS sum_y FROM long GROUP BY pheno HAVING count(DISTINCT y) >= 2)"""
+
+
+@register("st05b_logistic_score_nocov", LONG_SQL + """
+, n AS (SELECT count(*) AS n FROM samples)
+, tg AS (SELECT v, CAST(sum(dosage) AS BIGINT) AS ac, 2 * (n.n - count(*) FILTER (WHERE dosage IS NULL)) AS an FROM genotypes, n GROUP BY v, n.n)
+, sel AS (SELECT v FROM tg WHERE least(ac / CAST(an AS DOUBLE), 1 - ac / CAST(an AS DOUBLE)) >= 0.05 AND least(ac, an - ac) >= 20)
+, mu AS (SELECT pheno, sum_y / n AS mu FROM ok WHERE pheno <> 'QT')
+, d AS (SELECT l.pheno, sel.v, CAST(coalesce(g.dosage, 0) AS DOUBLE) AS g, l.y - m.mu AS r, m.mu * (1 - m.mu) AS w
+        FROM sel CROSS JOIN long l JOIN mu m ON m.pheno = l.pheno JOIN samples sa ON sa.sample_id = l.sample_id
+        LEFT JOIN genotypes g ON g.v = sel.v AND g.s = sa.s WHERE NOT (g.v IS NOT NULL AND g.dosage IS NULL))
+, t AS (SELECT pheno, v, count(*) AS n, sum(g * r) - sum(g) / count(*) * sum(r) AS score, max(w) * (sum(g * g) - sum(g) * sum(g) / count(*)) AS variance
+        FROM d GROUP BY pheno, v HAVING max(g) > min(g))
+SELECT pheno, v, n, round(score, 6) + 0.0 AS score, round(variance, 6) AS variance, round(score / sqrt(variance), 6) + 0.0 AS z_score FROM t""",
+          ["pheno", "samples", "genotypes"])
+def st05b(spark, d):
+    """The score test without covariates, which has a closed form."""
+    t = lg.score_test(maf_filtered(spark, d, cohort_genotypes(spark, d)), model_frame(spark, d, []), [])
+    return t.select("pheno", "v", "n", *[(r6(F.col(c)) + F.lit(0.0)).alias(c) for c in ("score", "variance", "z_score")])
+
+
+@register("st06c_null_model_score", LONG_SQL + """
+SELECT pheno, term, n, round(sum_y, 4) AS sum_y, round(sum_y, 4) AS sum_mu, 0.0::DOUBLE AS score
+FROM ok, (SELECT unnest(['(intercept)', """ + ", ".join(f"'{c}'" for c in COVS) + """]) AS term) t""", ["pheno"])
+def st06c(spark, d):
+    """The score equations X'(y - mu) = 0 of every phenotype's model."""
+    mf = nl.prepared(model_frame(spark, d))
+    eq = nl.score_equations(mf, nl.fit_null(mf, COVS), COVS)
+    return eq.select("pheno", "term", "n", F.round("sum_y", 4).alias("sum_y"), F.round("sum_mu", 4).alias("sum_mu"),
+                     (F.round("score", 4) + F.lit(0.0)).alias("score"))
+
+
 # ------------------------------------------------------------------ ST-7..10 set tests
 def gene_sets(spark, d):
     """Variant -> gene (the annotation's SYMBOL unit) for annotated, PASS variants."""
