@@ -14,6 +14,7 @@ A group holds the carrier rows of one set (rare variants: few carriers each).
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 
 import numpy as np
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from genoframe.operators.joins import broadcast_if_small
 from genoframe.plans import numerics as nm
+from genoframe.plans.resampling import resampled_p
 
 # SKAT-O correlation grid (rho = 1 evaluated at 0.999).
 RHO_GRID = [0.0, 0.01, 0.04, 0.09, 0.16, 0.25, 0.5, 1.0]
@@ -120,20 +122,23 @@ def skato_pvalue(S: np.ndarray, K: np.ndarray, rhos: Sequence[float] = RHO_GRID)
 
 def set_test(genotypes: DataFrame, sets: DataFrame, null: DataFrame, covars: DataFrame,
              cov_names: Sequence[str], max_maf: float | Sequence[float] = 0.01, method: str = "SKATO",
-             key: str = "sample_id", vkey: str = "v", unit: str = "unit") -> DataFrame:
+             key: str = "sample_id", vkey: str = "v", unit: str = "unit", resample: bool = True) -> DataFrame:
     """ST-7/8/9/10: one p-value per (phenotype, set), and per MAF cut if ``max_maf`` lists several (column ``max_maf``).
 
     ``sets`` = (v, unit); ``null`` from ``assoc.null_model``; ``covars`` holds the
     model covariates.  N counts all variants of the set (before the MAF cut);
     single-variant sets get a NULL p-value; missing calls are imputed by 2*MAF;
     variants with allele frequency > 0.5 are flipped to the minor allele. Variants above the
-    largest cut are dropped before their carriers are shuffled; a NULL unit is no set.
+    largest cut are dropped before their carriers are shuffled; a NULL unit is no set. With ``resample`` a set of a
+    0/1 phenotype that few samples carry is judged by case assignments among them (``resampling``; a flipped variant makes
+    all samples carriers). A phenotype whose null model failed gives one row with nulls.
     """
     cov = list(cov_names)
     cuts = [float(max_maf)] if isinstance(max_maf, (int, float)) else sorted({float(x) for x in max_maf})
     sets = sets.where(F.col(unit).isNotNull())
     # (pheno, sample, resid, var_w, covariates): n x phenotypes rows, fitted once and
     # materialised in the checkpoint folder (it feeds the totals and the per-set join)
+    failed = null.where(F.col(key).isNull()).select("pheno")
     nx = null.join(covars.select(key, *cov), key).checkpoint()
     # per-phenotype totals over all samples in the model (a few numbers per phenotype)
     tot = nx.groupBy("pheno").agg(
@@ -144,7 +149,7 @@ def set_test(genotypes: DataFrame, sets: DataFrame, null: DataFrame, covars: Dat
 
     # read twice below (frequencies, carrier rows)
     g = genotypes.select(vkey, key, "dosage").join(sets.select(vkey, unit), vkey).checkpoint()
-    gx = g.join(broadcast_if_small(nx.select("pheno", key, "resid", "var_w", *cov)), key)
+    gx = g.join(broadcast_if_small(nx.select("pheno", key, "kind", "mu", "resid", "var_w", *cov)), key)
     # allele frequency among the phenotype's samples
     af = gx.groupBy("pheno", vkey).agg(F.sum("dosage").alias("_ac"),
                                        F.count(F.when(F.col("dosage").isNull(), 1)).alias("_nm"))
@@ -198,6 +203,12 @@ def set_test(genotypes: DataFrame, sets: DataFrame, null: DataFrame, covars: Dat
             xx_all[0, i + 1] = xx_all[i + 1, 0] = t[f"vx_{x}"]
             for j, y in enumerate(cov):
                 xx_all[i + 1, j + 1] = t[f"xx_{x}_{y}"]
+        if resample and per_s["kind"].iloc[0] == "binary" and not a.any():
+            on = (G != 0).any(axis=1)
+            mu_c = per_s["mu"].to_numpy(float)[on]
+            p = resampled_p(G[on], w, mu_c, r_c[on] + mu_c, method, RHO_GRID, seed=zlib.crc32(f"{ph}/{sub[unit].iloc[0]}/{cut}".encode()))
+            if p is not None:
+                return p
         S = G.T @ r_c + a * (sum_r - r_c.sum())
         GVG = (G * v_c[:, None]).T @ G + np.outer(a, a) * (sum_v - v_c.sum())
         GVX = (G * v_c[:, None]).T @ X_c + np.outer(a, vx_all - (X_c * v_c[:, None]).sum(axis=0))
@@ -215,7 +226,7 @@ def set_test(genotypes: DataFrame, sets: DataFrame, null: DataFrame, covars: Dat
     every = set_n.select(unit, F.col("n_set").cast("bigint").alias("n"),
                          F.explode(F.lit(sorted(totals)).cast("array<string>")).alias("pheno"))
     every = every.withColumn("max_maf", F.explode(F.array(*[F.lit(c) for c in cuts])))
-    out = every.join(tested, ["pheno", unit, "max_maf"], "left")
+    out = every.join(tested, ["pheno", unit, "max_maf"], "left").unionByName(failed, allowMissingColumns=True)
     if isinstance(max_maf, (int, float)):
         return out.select("pheno", unit, "n", "p")
     return out.select("pheno", "max_maf", unit, "n", "p")
