@@ -111,6 +111,24 @@ def st02(spark, d):
     return pc.ld_prune(g, v, tags, fx.samples(spark, d).count())
 
 
+@register("st02b_ld_r2", """
+, n AS (SELECT count(*) AS n FROM samples)
+, tg AS (SELECT v, CAST(sum(dosage) AS BIGINT) AS ac, 2 * (n.n - count(*) FILTER (WHERE dosage IS NULL)) AS an FROM genotypes, n GROUP BY v, n.n)
+, sel AS (SELECT tg.v, vv.chrom, row_number() OVER (PARTITION BY vv.chrom ORDER BY vv.pos, vv.v) - 1 AS idx FROM tg JOIN variants vv ON vv.v = tg.v
+          WHERE least(ac / CAST(an AS DOUBLE), 1 - ac / CAST(an AS DOUBLE)) >= 0.05)
+, x AS (SELECT sel.v, sel.chrom, sel.idx, sa.s, CASE WHEN g.v IS NOT NULL AND g.dosage IS NULL THEN NULL ELSE CAST(coalesce(g.dosage, 0) AS DOUBLE) END AS g
+        FROM sel CROSS JOIN samples sa LEFT JOIN genotypes g ON g.v = sel.v AND g.s = sa.s)
+, r AS (SELECT least(a.v, b.v) AS v_a, greatest(a.v, b.v) AS v_b, regr_r2(a.g, b.g) AS r2, regr_sxx(a.g, b.g) AS sxx, regr_syy(a.g, b.g) AS syy
+        FROM x a JOIN x b ON a.chrom = b.chrom AND a.s = b.s AND a.idx < b.idx AND b.idx < a.idx - a.idx % 50 + 200 GROUP BY a.v, b.v)
+SELECT v_a, v_b, round(r2, 6) AS r2 FROM r WHERE r2 > 0.05 AND sxx > 0 AND syy > 0""", ["samples", "genotypes", "variants"])
+def st02b(spark, d):
+    """r^2 above 0.05 of every pair that shares a pruning window."""
+    tags = _tags(spark, d)
+    v = fx.variants(spark, d).join(tags.where(F.col("maf") >= 0.05).select("v"), "v", "left_semi")
+    pairs, _ = pc.ld_pairs(cohort_genotypes(spark, d), pc.variant_index(v.select("v", "chrom", "pos")), fx.samples(spark, d).count(), r2_min=0.05)
+    return pairs.select("v_a", "v_b", r6(F.col("r2")).alias("r2"))
+
+
 # ------------------------------------------------------------------ ST-3 standardize
 @register("st03_standardize", SQL_PCS + """
 SELECT sample_id, """ + ", ".join(f'round("PC{i}", 6) AS "PC{i}"' for i in range(1, 7)) + " FROM pcs",
