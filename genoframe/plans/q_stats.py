@@ -87,6 +87,14 @@ def st01b(spark, d):
     return pcs
 
 
+@register("st01d_pca_residual", """
+SELECT CAST(pc AS INTEGER) AS pc, 1.0::DOUBLE AS norm, 0.0::DOUBLE AS residual FROM (SELECT unnest(range(1, 11)) AS pc), (SELECT count(*) AS n FROM samples) WHERE pc <= n""", ["samples"])
+def st01d(spark, d):
+    """Every component has length 1 and is an eigenvector: max |G v - lambda v| against the first eigenvalue."""
+    r = pc.pca_residuals(cohort_genotypes(spark, d), _tags(spark, d), fx.samples(spark, d))
+    return r.select(F.col("pc").cast("int").alias("pc"), r6(F.col("norm")).alias("norm"), r6(F.col("residual")).alias("residual"))
+
+
 @register("dp5b_scree_pca")
 def dp5b(spark, d):
     _, eig = pca_result(spark, d)
@@ -403,8 +411,6 @@ def e3_rva(spark, d):
 
 @register("st01c_pca_randomized")
 def st01c(spark, d):
-    """ST-1 on the scalable path: randomized subspace iteration, no n x n matrix."""
-    ids = sorted(r[0] for r in fx.samples(spark, d).select("sample_id").collect())
-    w, V = pc.pca_randomized(spark, cohort_genotypes(spark, d), _tags(spark, d), ids, k=10)
-    return spark.createDataFrame([(s, *[float(V[i, j]) for j in range(V.shape[1])]) for i, s in enumerate(ids)],
-                                 "sample_id string, " + ", ".join(f"PC{j + 1} double" for j in range(V.shape[1])))
+    """ST-1 with fewer extra columns and more steps."""
+    w, vectors = pc._components(cohort_genotypes(spark, d), _tags(spark, d), fx.samples(spark, d), 10, 0.05, "sample_id", "v", oversample=6, power=12)
+    return vectors.select("sample_id", *[F.col("pc")[j].alias(f"PC{j + 1}") for j in range(len(w))])
