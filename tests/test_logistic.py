@@ -95,6 +95,7 @@ def test_sample_blocks_do_not_change_the_fits(cohort, monkeypatch):
     whole = run()
     monkeypatch.setattr(logistic, "SAMPLE_BLOCK", 15)
     monkeypatch.setattr(logistic, "VARIANT_BLOCK", 4)
+    monkeypatch.setattr(logistic, "MOST_VARIANTS", 4)
     assert run() == whole
 
 
