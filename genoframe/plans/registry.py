@@ -21,5 +21,5 @@ def register(name: str, sql: str | None = None, needs: Sequence[str] = ()):
 
 def load_all() -> dict[str, tuple[Callable, str | None]]:
     from genoframe.plans import (q_columns, q_filters, q_joins, q_sites,  # noqa: F401
-                                 q_longitudinal, q_products, q_io, q_stats)
+                                 q_longitudinal, q_products, q_io, q_ingest, q_stats)
     return CATALOG

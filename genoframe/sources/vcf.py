@@ -179,14 +179,18 @@ def write_vcf_per_sample(variants: DataFrame, genotypes: DataFrame, path: str, k
                     F.col("pos").alias("_pos"),
                     F.concat_ws("\t", "chrom", F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."),
                                 "filter", F.lit("."), F.lit("GT"), _gt_text(F.col("dosage"))).alias("value"))
-    names = genotypes.select(F.col(sample).alias("sample")).distinct()
+    return write_lines_per_sample(data, genotypes.select(F.col(sample).alias("sample")).distinct(), path)
+
+
+def write_lines_per_sample(data: DataFrame, names: DataFrame, path: str) -> str:
+    """Record lines (sample, _h = 2, _cn, _pos, value) as one folder of text a sample, each with a header."""
     hdr = names.select("sample", F.lit(1).alias("_h"), F.lit(0).alias("_cn"), F.lit(0).cast("bigint").alias("_pos"),
                        F.concat_ws("\t", F.lit("#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT"),
                                    F.col("sample")).alias("value"))
     meta = names.select("sample", F.lit(0).alias("_h"), F.lit(0).alias("_cn"), F.lit(0).cast("bigint").alias("_pos"),
                         F.lit("##fileformat=VCFv4.2").alias("value"))
     allr = data.unionByName(hdr).unionByName(meta)
-    n = int(genotypes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # range partitioning splits a very large sample over several files; files after
     # the first take the header of their folder when read back
     (allr.repartitionByRange(n, "sample", "_h", "_cn", "_pos").sortWithinPartitions("sample", "_h", "_cn", "_pos")
