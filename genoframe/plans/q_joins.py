@@ -8,6 +8,7 @@ from genoframe import fixtures as fx
 from genoframe.functions import annotation as fa
 from genoframe.functions import ids as fi
 from genoframe.operators import annotate as oa
+from genoframe.operators import overlap as oo
 from genoframe.operators import joins as oj
 from genoframe.operators.sites import merge_cohort
 from genoframe.plans.q_columns import SQL_NORMALIZE_IDS, r6, zscored_pcs, SQL_PCS, PSAM_SQL, psam
@@ -197,6 +198,48 @@ def jn11(spark, d):
                       F.when(F.col("sv_keys") != "", F.col("sv_keys")).alias("sv_keys"), "max_sv_score")
 
 
+#: Ranges of lengths from one base to half a million: suppliers as intervals, parts as deletions.
+SQL_RANGES = """
+, iv AS (SELECT sv_key, chrom, start, start + CAST(pow(2, sv_key % 20) AS BIGINT) - 1 AS stop, sv_name, sv_score FROM intervals),
+dels AS (SELECT v, chrom, pos AS start, pos + CASE WHEN v % 4 = 0 THEN CAST(cadd AS BIGINT) * 2000 ELSE 0 END AS stop FROM variants)"""
+
+
+def ranges(spark, d):
+    iv = fx.intervals(spark, d)
+    iv = iv.select("sv_key", "chrom", "start", (F.col("start") + F.pow(F.lit(2.0), F.col("sv_key") % 20).cast("bigint") - 1).alias("stop"),
+                   "sv_name", "sv_score")
+    v = fx.variants(spark, d)
+    span = F.when(F.col("v") % 4 == 0, F.col("cadd").cast("bigint") * 2000).otherwise(F.lit(0))
+    return v.select("v", "chrom", F.col("pos").alias("start"), (F.col("pos") + span).alias("stop")), iv
+
+
+@register("jn11b_overlap_pairs", SQL_RANGES + """
+SELECT x.v, i.sv_key, CAST(least(x.stop, i.stop) - greatest(x.start, i.start) + 1 AS BIGINT) AS n_bases
+FROM dels x JOIN iv i ON x.chrom = i.chrom AND x.start <= i.stop AND i.start <= x.stop""", ["variants", "intervals"])
+def jn11b(spark, d):
+    """Ranges against ranges of any length: nested bins, each pair once."""
+    v, iv = ranges(spark, d)
+    at = ("chrom", "start", "stop")
+    p = oo.overlap_pairs(v, iv, at, at)
+    return p.select("a.v", "b.sv_key", (F.least("a.stop", "b.stop") - F.greatest("a.start", "b.start") + 1).alias("n_bases"))
+
+
+@register("udf02b_annotation_overlap", SQL_RANGES + """
+SELECT x.v, CAST(count(i.sv_key) AS BIGINT) AS n_src, max(i.sv_score) AS max_score,
+  array_to_string(list_slice(list_sort(list(DISTINCT i.sv_name) FILTER (WHERE i.sv_name IS NOT NULL)), 1, 3), ',') AS names,
+  arg_min(i.sv_key, struct_pack(a := i.start, b := i.stop, c := i.sv_key)) AS first_key,
+  max(i.sv_score) > 0 AS positive
+FROM dels x LEFT JOIN iv i ON x.chrom = i.chrom AND x.start <= i.stop AND i.start <= x.stop GROUP BY x.v""",
+          ["variants", "intervals"])
+def udf02b(spark, d):
+    """A declarative spec over the intervals that overlap, with bounded lists and a post-op."""
+    v, iv = ranges(spark, d)
+    at = ("chrom", "start", "stop")
+    spec = oa.AnnotationSpec(["sv_key", "sv_score", "sv_name", "sv_key"], ["n_src", "max_score", "names", "first_key"],
+                             ["count", "max", "uniq:3", "first"], post=[("positive", lambda c: c > 0, ["max_score"])])
+    return oo.annotate_ranges(v, iv, spec, a_range=at, b_range=at).select("v", "n_src", "max_score", "names", "first_key", "positive")
+
+
 @register("jn12_annotate_scores", """
 SELECT vv.v, s."SIFT4G_pred", s."Polyphen2_HVAR_pred", s."CADD_phred", s."GO"
 FROM variants vv LEFT JOIN scores s USING (chrom, pos, ref, alt)""", ["variants", "scores"])
