@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from genoframe import fixtures as fx
 from genoframe.functions import ids as fi
 from genoframe.operators import columns as oc
+from genoframe.operators import consequence as oq
 from genoframe.operators import filters as ofl
 from genoframe.operators import reshape as ors
 from genoframe.operators import sites as osi
@@ -111,6 +112,53 @@ def ag12(spark, d):
     return c.select("v", w["SYMBOL"].alias("symbol"), w["IMPACT"].alias("impact"), w["CADD_phred"].alias("cadd"))
 
 
+TERM_FIELDS = ["SYMBOL", "IMPACT", "Consequence"]
+_TERMS_SQL = "[" + ", ".join(f"'{t}'" for t in oq.TERM_ORDER) + "]"
+#: Transcripts with one or two terms of the published list (and one that it lacks), all of IMPACT MODERATE on every third variant.
+SQL_TERM_TX = f"""
+, tx AS (SELECT v, j AS i, 'G' || CAST((v + j // 2) % 50 AS VARCHAR) AS symbol,
+    CASE WHEN v % 3 = 0 THEN 'MODERATE' ELSE (['HIGH','MODERATE','LOW','MODIFIER'])[(v + j) % 4 + 1] END AS impact,
+    (v * 7 + j * 11) % 42 AS t1, CASE WHEN (v + j) % 2 = 0 THEN (v + j * 5) % 41 END AS t2
+  FROM variants, range(0, 5) g(j) WHERE j <= v % 5)
+, terms AS (SELECT v, i, symbol, impact, unnest([t1, t2]) AS t FROM tx)
+, ranked AS (SELECT v, i, symbol, impact, min(t) AS t FROM terms WHERE t IS NOT NULL GROUP BY ALL)"""
+
+
+def term_transcripts(spark, d):
+    v = fx.variants(spark, d)
+    names = fx.lit_list([*oq.TERM_ORDER, "unlisted_variant"])
+
+    def tx(j):
+        k = F.col("v") + j
+        one = F.element_at(names, ((F.col("v") * 7 + j * 11) % 42 + 1).cast("int"))
+        two = F.when(k % 2 == 0, F.element_at(names, ((F.col("v") + j * 5) % 41 + 1).cast("int")))
+        impact = F.when(F.col("v") % 3 == 0, F.lit("MODERATE")).otherwise(
+            F.element_at(fx.lit_list(osi.IMPACT_ORDER), (k % 4 + 1).cast("int")))
+        gene = F.concat(F.lit("G"), ((F.col("v") + F.floor(j / 2)) % 50).cast("string"))
+        return F.concat_ws("|", gene, impact, F.concat_ws("&", one, two))
+
+    txs = F.transform(F.sequence(F.lit(0), (F.col("v") % 5).cast("int")), lambda j: tx(j))
+    return oc.split_csq(v.select("v", F.array_join(txs, ",").alias("csq")), TERM_FIELDS)
+
+
+@register("ag12b_worst_term", SQL_TERM_TX + f"""
+SELECT v, symbol, impact, coalesce(({_TERMS_SQL})[t + 1], 'unlisted_variant') AS term, CAST(t + 1 AS INTEGER) AS severity
+FROM (SELECT *, row_number() OVER (PARTITION BY v ORDER BY t, i) AS rn FROM ranked) WHERE rn = 1""", ["variants"])
+def ag12b(spark, d):
+    """The worst transcript by consequence terms: equal IMPACT is resolved by terms, equal terms by order."""
+    w = oq.worst_by_term(term_transcripts(spark, d))
+    return w.select("v", w["worst.SYMBOL"].alias("symbol"), w["worst.IMPACT"].alias("impact"), F.col("worst_term").alias("term"),
+                    F.col("worst_rank").alias("severity"))
+
+
+@register("ag12c_worst_term_per_gene", SQL_TERM_TX + f"""
+SELECT v, symbol, impact, coalesce(({_TERMS_SQL})[t + 1], 'unlisted_variant') AS term
+FROM (SELECT *, row_number() OVER (PARTITION BY v, symbol ORDER BY t, i) AS rn FROM ranked) WHERE rn = 1""", ["variants"])
+def ag12c(spark, d):
+    w = oq.worst_by_gene(term_transcripts(spark, d))
+    return w.select("v", F.col("SYMBOL").alias("symbol"), F.col("worst")["IMPACT"].alias("impact"), F.col("worst_term").alias("term"))
+
+
 @register("ag15_variant_stats", """
 SELECT DISTINCT chrom, pos, ref, alt, unnest(string_split(csq, ',')) AS tx FROM csq""", ["csq"])
 def ag15(spark, d):
