@@ -9,10 +9,12 @@ from genoframe.functions import annotation as fa
 from genoframe.functions import ids as fi
 from genoframe.operators import annotate as oa
 from genoframe.operators import overlap as oo
+from genoframe.operators import scores as osc
 from genoframe.operators import joins as oj
 from genoframe.operators.sites import merge_cohort
 from genoframe.plans.q_columns import SQL_NORMALIZE_IDS, r6, zscored_pcs, SQL_PCS, PSAM_SQL, psam
 from genoframe.plans.registry import register
+from genoframe.session import scratch_dir
 
 
 def _ids(spark, d):
@@ -249,6 +251,58 @@ def jn12(spark, d):
         .select("v", "SIFT4G_pred", "Polyphen2_HVAR_pred", "CADD_phred", "GO")
 
 
+def _packed_sql(i: int, name: str) -> str:
+    """Every fourth column has one value for all transcripts, the others one a transcript; some are '.'."""
+    one = f"CASE WHEN (v + {i}) % 7 = 0 THEN '.' ELSE CAST((v * {i + 3}) % 1000 AS VARCHAR) END"
+    two = f"CAST((v * {i + 5}) % 1000 AS VARCHAR)"
+    first = one if i % 4 == 0 else f"CASE WHEN v % 3 = 0 THEN {one} ELSE {two} END"
+    return f"CASE WHEN v % 2 = 0 AND v % 3 < 2 THEN nullif({first}, '.') END AS \"{name}\""
+
+
+def score_rows(spark, d):
+    """Packed scores of every even part's allele; every tenth allele has a second record that sorts later."""
+    v = fx.variants(spark, d).where("v % 2 = 0")
+    ids = F.concat(F.lit("T"), F.col("v").cast("string"), F.lit(";T"), (F.col("v") + 1).cast("string"))
+
+    def packed(i):
+        one = F.when((F.col("v") + i) % 7 == 0, F.lit(".")).otherwise(((F.col("v") * (i + 3)) % 1000).cast("string"))
+        return one if i % 4 == 0 else F.concat(one, F.lit(";"), ((F.col("v") * (i + 5)) % 1000).cast("string"))
+
+    rows = v.select("v", *osc.ALLELE_KEY, ids.alias("Ensembl_transcriptid"), *[packed(i).alias(c) for i, c in enumerate(osc.SCORE_COLUMNS)])
+    again = rows.where("v % 10 = 0").withColumn(osc.SCORE_COLUMNS[0], F.lit("~"))
+    return rows.unionByName(again).drop("v")
+
+
+def splice_rows(spark, d, even: bool):
+    v = fx.variants(spark, d).where((F.col("v") % 3 == 1) & ((F.col("v") % 2 == 0) == F.lit(even)))
+    num = lambda k: F.format_string("%.2f", ((F.col("v") * k) % 100) / 100.0)       # noqa: E731
+    zero = F.lit("0.00")
+    mine = F.concat_ws("|", "alt", F.lit("GA"), num(3), zero, num(7), zero, *[F.lit("1")] * 4)
+    other = F.concat_ws("|", "alt", F.lit("GB"), zero, num(11), zero, zero, *[F.lit("1")] * 4)
+    alien = F.concat_ws("|", F.lit("NN"), F.lit("GC"), *[F.lit("1.00")] * 4, *[F.lit("1")] * 4)
+    return v.select(*osc.ALLELE_KEY, F.concat_ws(",", alien, other, mine).alias("SpliceAI"))
+
+
+@register("jn12b_scores_in_full", """
+SELECT v, """ + ", ".join(_packed_sql(i, c) for i, c in enumerate(osc.SCORE_COLUMNS)) + """,
+  CASE WHEN v % 3 = 1 THEN CASE WHEN (v * 11) % 100 > greatest((v * 3) % 100, (v * 7) % 100) THEN 'GB' ELSE 'GA' END END AS splice_gene,
+  CASE WHEN v % 3 = 1 THEN greatest((v * 3) % 100, (v * 7) % 100, (v * 11) % 100) / 100.0 END AS splice_delta, go AS "GO"
+FROM variants LEFT JOIN (
+  SELECT p_brand AS gene, string_agg(DISTINCT 'GO:' || CAST(p_size % 9 AS VARCHAR), '&' ORDER BY 'GO:' || CAST(p_size % 9 AS VARCHAR)) AS go
+  FROM part GROUP BY 1) USING (gene)""", ["variants"])
+def jn12b(spark, d):
+    """Stored score tables: 44 columns by transcript, SNV and indel splice tables together, terms by gene."""
+    table = osc.write_scores(score_rows(spark, d), scratch_dir(spark, "scores"), ["Ensembl_transcriptid", *osc.SCORE_COLUMNS])
+    splice = osc.splice_scores(splice_rows(spark, d, True), splice_rows(spark, d, False))
+    stored = osc.write_scores(splice, scratch_dir(spark, "splice"), ["splice_gene", "splice_delta"])
+    part = fx.table(spark, d, "part")
+    terms = part.select(F.col("p_brand").alias("gene"), F.concat(F.lit("GO:"), (F.col("p_size") % 9).cast("string")).alias("go"))
+    v = fx.variants(spark, d).select("v", *osc.ALLELE_KEY, "gene",
+                                     F.concat(F.lit("T"), (F.col("v") + F.col("v") % 3).cast("string")).alias("transcript"))
+    got = osc.annotate_all(spark, v, table, stored, terms, gene="gene")
+    return got.select("v", *[f"`{c}`" for c in osc.SCORE_COLUMNS], "splice_gene", "splice_delta", "GO")
+
+
 @register("jn14_variants_to_sets", f"""
 SELECT a.unit, CAST(count(*) AS BIGINT) AS n
 FROM (SELECT {SQL_VID} AS variant_id FROM variants WHERE filter = 'PASS') k
