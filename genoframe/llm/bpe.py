@@ -7,12 +7,15 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
 from genoframe.llm.frames import id_and_text
 
 #: Longer texts are encoded in parts of about this many characters.
 PART_CHARS = 65_536
+#: In longer texts a run of white space of this many characters is cut out as the match that it is.
+LONG_SPACE = 4_096
 
 _encodings: dict[tuple[str, str], object] = {}
 
@@ -46,10 +49,23 @@ def safe_parts(text: str, size: int = PART_CHARS) -> Iterator[str]:
 
 
 def encode_text(enc, text: str) -> list[int]:
+    """Token ids of a text of any length.
+
+    The split pattern's own search runs out of stack on about a million white-space characters, so long
+    runs of them are found here: the pattern matches such a run whole at the end of the text, else all of it but
+    its last character, whatever stands before it. A run of another kind is one match and no such case.
+    """
     if len(text) <= PART_CHARS:
         return enc.encode_ordinary(text)
     ids: list[int] = []
-    for part in safe_parts(text):
+    begin = 0
+    for run in regex.finditer(rf"\p{{White_Space}}{{{LONG_SPACE},}}", text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        for part in safe_parts(text[begin:run.start()]):
+            ids += enc.encode_ordinary(part)
+        ids += enc._encode_single_piece(text[run.start():end])
+        begin = end
+    for part in safe_parts(text[begin:]):
         ids += enc.encode_ordinary(part)
     return ids
 

@@ -115,3 +115,25 @@ def test_registered_query(spark, sf, library):
         assert got[d.doc_id].n_tokens == len(ids)
         assert got[d.doc_id].ids_sha256 == hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest()
         assert got[d.doc_id].decoded_sha256 == hashlib.sha256((d.text or "").encode()).hexdigest()
+
+
+def test_byte_level_long_runs_of_every_class(monkeypatch):
+    import random
+
+    import public_tokenizers
+    from genoframe.llm import bpe
+    enc = bpe.encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    # short forms of long runs, against the library on the whole text
+    rnd = random.Random(3)
+    pieces = ["x", "7", "!", "'s", "\u6f22", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "\u0085", "\u001c", "\u200b", "don't"]
+    monkeypatch.setattr(bpe, "PART_CHARS", 12)
+    monkeypatch.setattr(bpe, "LONG_SPACE", 3)
+    for _ in range(3000):
+        text = "".join(rnd.choice(pieces) * rnd.choice([1, 1, 2, 9]) for _ in range(rnd.randrange(12)))
+        assert bpe.encode_text(enc, text) == enc.encode_ordinary(text), text
+    monkeypatch.undo()
+    n = 2_000_000
+    for unit in ["a", "\u6f22\u5b57", "1234567", "!?", " ", "\n \t", "\u3000", "\U0001F600"]:
+        run = unit * (n // len(unit))
+        for text in (run, f"see{run}end", f"see{run} x"):
+            assert enc.decode_bytes(bpe.encode_text(enc, text)) == text.encode(), unit
