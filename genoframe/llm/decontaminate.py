@@ -94,9 +94,17 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: st
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
                      item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose doc_id has no hit, with all their columns (a null doc_id stays)."""
-    hits = scan(docs, benchmark, window, id_col, text_col, item_id_col, item_text_col).where("n_hit > 0")
-    return docs.join(hits.select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_anti").select(docs.columns)
+    """The rows of ``docs`` whose text has no hit, with all their columns.
+
+    A row is known by its text: rows without an id are judged like any other, and of rows that repeat an id only
+    those with a hit go. A null or empty text stays.
+    """
+    key = F.sha2(F.col(text_col).cast("binary"), 256).alias("k")
+    hits = scan(docs.select(key, F.col(text_col).alias("t")), benchmark, window, "k", "t", item_id_col, item_text_col).where("n_hit > 0")
+    # the row travels as one value, so that no column of docs can clash with a name used here
+    rows = docs.select(F.struct("*").alias("row"), key)
+    kept = rows.join(hits.select(F.col("doc_id").alias("k")).distinct(), "k", "left_anti")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -196,15 +197,26 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
         run, "doc_id bigint, lang_pred string, score double, n_windows bigint")
 
 
-def recognised(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+def recognised(docs: DataFrame, model: Model | None, text_col: str = "text", lang_col: str | None = None) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text gets a language: one pass, no shuffle.
 
-    Rows with a null text or one without a letter go, and all rows if there is no model. A null
+    Rows with a null text or one without a letter go. With ``lang_col``, a null there becomes the predicted language.
+    Without a model (nothing to learn from) rows with a letter stay and no language is written. A null
     id, repeated rows and other columns do not matter.
     """
+    at = docs.columns.index(lang_col) if lang_col else None
+
     def run(batches):
         for part, label, _, _ in _predictions(batches, model, text_col):
-            yield part.filter(pa.array([x != UNKNOWN for x in label], pa.bool_()))
+            if model is None:
+                texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
+                keep = [bool(t) and any(ch.isalpha() for ch in t) for t in texts]
+            else:
+                keep = [x != UNKNOWN for x in label]
+                if at is not None:
+                    lang = part.column(at)
+                    part = part.set_column(at, part.schema.field(at), pc.coalesce(lang, pa.array(label, lang.type)))
+            yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

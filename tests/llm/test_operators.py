@@ -467,3 +467,33 @@ def test_null_ids_and_repeated_rows(spark, docs, corpus):
     kept = cp.simhash_dedup(spark, odd, "").collect()
     ids = [r.doc_id for r in kept if r.doc_id is not None]
     assert len(ids) == len(set(ids)) and sum(r.doc_id is None for r in kept) == 3 and {3, 63} <= set(ids)
+
+
+def test_decontamination_judges_rows_without_an_id(spark):
+    from genoframe.llm import decontaminate
+    ten = "one two three four five six seven eight nine ten"
+    bench = spark.createDataFrame([("q1", ten)], "item_id string, text string")
+    rows = [(None, f"x {ten} y", 1), (None, "clean words", 2), (7, ten.upper(), 3), (7, "the same id but clean", 4),
+            (8, None, 5), (9, "", 6), (None, None, 7), (None, "clean words", 8)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, k int")
+    kept = decontaminate.remove_documents(d, bench)
+    assert sorted(r.k for r in kept.collect()) == [2, 4, 5, 6, 7, 8] and kept.columns == d.columns
+    assert decontaminate.remove_documents(d, bench.limit(0)).count() == len(rows)
+
+
+def test_language_stage_without_labels_keeps_documents(spark):
+    from genoframe.llm import langid
+    rows = [(1, "some words here", None), (2, "1234", None), (3, None, None), (None, "\u6f22\u5b57", None), (5, "", "en")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.fit(d) is None
+    assert sorted(r.text for r in langid.recognised(d, None, lang_col="lang").collect()) == ["some words here", "\u6f22\u5b57"]
+
+
+def test_language_stage_writes_missing_languages(docs):
+    from genoframe.llm import langid
+    model = langid.fit(docs)
+    said = {r.doc_id: r.lang_pred for r in langid.predict(docs, model).collect()}
+    got = langid.recognised(docs, model, lang_col="lang").collect()
+    given = {r.doc_id: r.lang for r in docs.collect()}
+    assert {r.doc_id for r in got} == {k for k, v in said.items() if v != "und"}
+    assert all(r.lang == (given[r.doc_id] or said[r.doc_id]) for r in got)
