@@ -13,7 +13,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,23 +108,24 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
-    """``vec_id, v`` of the vectors that can link, and their length (the commonest length)."""
+def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, list[int]]:
+    """``vec_id, v`` of the vectors that can link, and the lengths that two or more of them have."""
     v = F.col(vector_col).cast("array<double>")
     base = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), v.alias("v")).where("vec_id is not null and size(v) > 0")
     good = base.where(F.expr("forall(v, x -> x is not null and not isnan(x) and abs(x) < double('inf')) and exists(v, x -> x <> 0)"))
-    dims = good.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    d = dims[0]["d"] if dims else 0
-    return good.where(F.size("v") == d), d
+    dims = good.groupBy(F.size("v").alias("d")).count().where("count > 1").orderBy("d").collect()
+    return good, [r["d"] for r in dims]
 
 
 def _verify(batches, threshold: float):
     """Rows arrive sorted by (cell, block, role): a block's members, then its queries.
 
     Counts every query's links and keeps a spanning set of them: each query with its first
-    member, and members joined through a query once.
+    member, and members joined through a query once. A member that does not visit the query's own cell
+    would not find it, so the link is counted for the member here: every pair found counts for both of its ends.
+    The last column holds a member's visited cells, a query's own cell.
     """
-    key, members, ids, copies, parent = None, [], [], [], {}
+    key, members, ids, copies, seen, parent = None, [], [], [], [], {}
     matrix = None
 
     def find(i):
@@ -140,13 +140,15 @@ def _verify(batches, threshold: float):
         cell, block, role = (rb.column(i).to_numpy(zero_copy_only=False) for i in range(3))
         vec, mult = (rb.column(i).to_numpy(zero_copy_only=False) for i in (3, 4))
         x = _unit(_matrix(rb.column(5)))
+        cells = rb.column(6)
         edge = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (block[1:] != block[:-1]) | (role[1:] != role[:-1]), [True]]))
         q_out, n_out, a_out, b_out = [], [], [], []
         for lo, hi in zip(edge[:-1], edge[1:]):
             if (cell[lo], block[lo]) != key:
-                key, members, ids, copies, matrix = (cell[lo], block[lo]), [], [], [], None
+                key, members, ids, copies, seen, matrix = (cell[lo], block[lo]), [], [], [], [], None
             if role[lo] == 0:
                 members.append(x[lo:hi])
+                seen.append(cells.slice(lo, hi - lo).flatten().to_numpy(zero_copy_only=False).reshape(hi - lo, -1))
                 ids.append(vec[lo:hi])
                 copies.append(mult[lo:hi])
                 matrix = None
@@ -155,9 +157,12 @@ def _verify(batches, threshold: float):
                 continue
             if matrix is None:
                 matrix, own, many = np.concatenate(members), np.concatenate(ids), np.concatenate(copies)
+                visits = np.concatenate(seen)
                 parent = dict(enumerate(range(len(own))))
+            home = cells.slice(lo, hi - lo).flatten().to_numpy(zero_copy_only=False)
             for at in range(lo, hi, 512):
                 to = min(at + 512, hi)
+                more, through = np.zeros(len(own), dtype=np.int64), np.zeros(len(own), dtype=np.int64)
                 near = (x[at:to] @ matrix.T >= threshold) & (vec[at:to, None] != own[None, :])
                 for i in np.flatnonzero(near.any(axis=1)):
                     hit = np.flatnonzero(near[i])
@@ -165,6 +170,10 @@ def _verify(batches, threshold: float):
                     n_out.append(int(many[hit].sum()))
                     a_out.append(vec[at + i])
                     b_out.append(own[hit[0]])
+                    if home[at + i - lo] != cell[lo]:
+                        unseen = hit[~(visits[hit] == home[at + i - lo]).any(axis=1)]
+                        more[unseen] += mult[at + i]
+                        through[unseen] = vec[at + i]
                     root = find(int(hit[0]))
                     for h in hit[1:].tolist():
                         r = find(h)
@@ -174,6 +183,11 @@ def _verify(batches, threshold: float):
                             n_out.append(0)
                             a_out.append(own[hit[0]])
                             b_out.append(own[h])
+                for h in np.flatnonzero(more).tolist():
+                    q_out.append(own[h])
+                    n_out.append(int(more[h]))
+                    a_out.append(own[h])
+                    b_out.append(through[h])
         yield pa.RecordBatch.from_arrays([pa.array(q_out, pa.int64()), pa.array(n_out, pa.int64()), pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())],
                                          ["vec_id", "n", "a", "b"])
 
@@ -184,19 +198,31 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, recall: float =
 
     ``n_links`` counts the other vectors found with cosine >= ``threshold`` (double precision; none
     below it is linked), ``component_id`` is the smallest vec_id reachable by links, itself
-    included, ``kept`` is ``vec_id = component_id``. Equal vectors are one node with their number.
-    Vectors that are null, empty, zero, hold null or non-finite components, or have another
-    length than most link with nothing. vec_id must be unique (repeated equal rows count as
+    included, ``kept`` is ``vec_id = component_id``. A pair found from either end counts for both.
+    Equal vectors are one node with their number. Vectors that are null, empty, zero or hold null or
+    non-finite components link with nothing; vectors of different lengths are not compared, each length has
+    an index of its own. vec_id must be unique (repeated equal rows count as
     copies); a null vec_id links with nothing and is not kept. A cell of many members is
     dealt over blocks of ``BLOCK_ROWS``, and queries stream past each block.
     """
-    spark = vectors.sparkSession
-    usable, d = _usable(vectors, id_col, vector_col)
+    usable, lengths = _usable(vectors, id_col, vector_col)
     everyone = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"))
     alone = everyone.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"),
                             F.coalesce(F.col("vec_id") == F.col("vec_id"), F.lit(False)).alias("kept"))
-    if not d:
+    if not lengths:
         return alone
+    of_vec = None
+    for d in lengths:
+        part = _linked(usable.where(F.size("v") == d), threshold, recall, sample)
+        of_vec = part if of_vec is None else of_vec.unionByName(part)
+    return (everyone.join(of_vec, F.col("vec_id") == F.col("k"), "left")
+            .select("vec_id", F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id"))
+            .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))))
+
+
+def _linked(usable: DataFrame, threshold: float, recall: float, sample: int) -> DataFrame:
+    """``k, links, c``: id, number of links and component of vectors of one length."""
+    spark = usable.sparkSession
     # -0.0 and 0.0 are one value
     tagged = usable.select("vec_id", F.expr("transform(v, x -> x + 0.0D)").alias("v"))
     tagged = tagged.withColumn("tag", F.sha2(F.expr("array_join(transform(v, x -> cast(x as string)), ' ')"), 256))
@@ -208,30 +234,25 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, recall: float =
         picked = nodes.select("v").limit(2).toArrow()
     index = fit(_unit(_matrix(picked.column(0))), n_nodes, threshold, recall)
 
-    def file(batches):
-        for rb in batches:
-            if rb.num_rows:
-                x = _unit(_matrix(rb.column(2)))
-                yield pa.RecordBatch.from_arrays([pa.array(index.cells(x)), rb.column(0), rb.column(1), rb.column(2)], ["cell", "rep", "copies", "v"])
-
-    def visit(batches):
+    def place(batches):
         for rb in batches:
             for at in range(0, rb.num_rows, 1024):
                 part = rb.slice(at, 1024)
                 cells = index.visited(_unit(_matrix(part.column(2))))
-                take = pa.array(np.repeat(np.arange(part.num_rows), cells.shape[1]))
-                yield pa.RecordBatch.from_arrays([pa.array(cells.reshape(-1)), *(pc.take(part.column(i), take) for i in range(3))], ["cell", "rep", "copies", "v"])
+                lists = pa.ListArray.from_arrays(np.arange(0, cells.size + 1, cells.shape[1], dtype=np.int32), pa.array(cells.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(3)), lists], ["rep", "copies", "v", "visits"])
 
-    rows = nodes.select("rep", "copies", "v")
-    kind = "cell bigint, rep bigint, copies bigint, v array<double>"
-    filed, asked = rows.mapInArrow(file, kind), rows.mapInArrow(visit, kind)
+    # the nearest visited cell is a vector's own; written once, so that both roles rest on the same cells
+    placed = checkpointed(nodes.select("rep", "copies", "v").mapInArrow(place, "rep bigint, copies bigint, v array<double>, visits array<bigint>"))
+    filed = placed.select(F.col("visits")[0].alias("cell"), "rep", "copies", "v", F.col("visits").alias("cells"))
+    asked = placed.select(F.explode("visits").alias("cell"), "rep", "copies", "v", F.array(F.col("visits")[0]).alias("cells"))
     # cells over the block size are dealt over several blocks; their queries go to each
     large = filed.groupBy("cell").count().where(F.col("count") > BLOCK_ROWS).select("cell", F.ceil(F.col("count") / BLOCK_ROWS).cast("int").alias("blocks"))
     large = checkpointed(large)
     filed = filed.join(large, "cell", "left").select("cell", F.pmod(F.xxhash64("rep"), F.coalesce("blocks", F.lit(1))).cast("int").alias("block"),
-                                                     F.lit(0).alias("role"), "rep", "copies", "v")
+                                                     F.lit(0).alias("role"), "rep", "copies", "v", "cells")
     asked = asked.join(large, "cell", "left").select("cell", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)).alias("block"),
-                                                     F.lit(1).alias("role"), "rep", "copies", "v")
+                                                     F.lit(1).alias("role"), "rep", "copies", "v", "cells")
     n = shuffle_partitions(spark)
     met = (filed.unionByName(asked).repartition(n, "cell", "block").sortWithinPartitions("cell", "block", "role")
            .mapInArrow(lambda it: _verify(it, threshold), "vec_id bigint, n bigint, a bigint, b bigint"))
@@ -240,7 +261,4 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, recall: float =
     comp = components(met.select("a", "b"))
     of_node = (nodes.select("tag", "rep", "copies").join(linked, F.col("rep") == F.col("r"), "left").join(comp, F.col("rep") == F.col("node"), "left")
                .select("tag", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "rep").alias("c")))
-    of_vec = tagged.select("vec_id", "tag").join(of_node, "tag").select(F.col("vec_id").alias("k"), "links", "c").distinct()
-    return (everyone.join(of_vec, F.col("vec_id") == F.col("k"), "left")
-            .select("vec_id", F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))))
+    return tagged.select("vec_id", "tag").join(of_node, "tag").select(F.col("vec_id").alias("k"), "links", "c").distinct()

@@ -497,3 +497,29 @@ def test_language_stage_writes_missing_languages(docs):
     given = {r.doc_id: r.lang for r in docs.collect()}
     assert {r.doc_id for r in got} == {k for k, v in said.items() if v != "und"}
     assert all(r.lang == (given[r.doc_id] or said[r.doc_id]) for r in got)
+
+
+def test_embedding_links_are_symmetric(spark, monkeypatch):
+    """With a low recall many pairs are found from one end only: each must count for both ends."""
+    from genoframe.llm import multi_index
+    rng = np.random.default_rng(9)
+    centre = rng.normal(size=(60, 8))
+    x = np.concatenate([c + 0.16 * rng.normal(size=(12, 8)) for c in centre])
+    x = np.concatenate([x, x[:3]])
+    short = [(5000 + i, [float(v) for v in r], 1) for i, r in enumerate(np.array([[1, 0, 2], [2, 0, 4], [1, 0, 2.01], [0, 1, 0]]))]
+    rows = [(i, [float(v) for v in r], 0) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows + short, "vec_id bigint, embedding array<double>, cell int")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= 0.95
+    np.fill_diagonal(near, False)
+    monkeypatch.setattr(multi_index, "CELL_ROWS", 4)
+    full = {r.vec_id: r for r in multi_index.near_duplicates(df).collect()}
+    assert sum(full[i].n_links for i in range(len(x))) >= 0.97 * near.sum()
+    for recall in (0.3, 0.98):
+        got = multi_index.near_duplicates(df, recall=recall).collect()
+        links = sum(r.n_links for r in got if r.vec_id < 5000)
+        assert links % 2 == 0 and links <= near.sum()
+        size = Counter(r.component_id for r in got)
+        assert all((r.n_links > 0) == (size[r.component_id] > 1) for r in got)
+        assert all(r.n_links <= near[r.vec_id].sum() for r in got if r.vec_id < 5000)
+        assert [full[5000 + i].n_links for i in range(4)] == [2, 2, 2, 0] and full[5001].component_id == 5000
