@@ -80,6 +80,24 @@ def rare_genotypes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calls(spark, sf_dir).where((F.col("v") * 13 + F.col("s")) % 41 == 0)
 
 
+def cohort_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Non-reference calls of the whole cohort: every customer is a sample (s), so alleles are rare by themselves."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return (li.join(od, li.l_orderkey == od.o_orderkey).groupBy(F.col("l_partkey").alias("v"), F.col("o_custkey").alias("s"))
+            .agg(F.max(F.when(F.col("l_quantity") > 25, 2).otherwise(1)).alias("dosage")))
+
+
+def cohort_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sample per customer with orders: s, sample_id, a 0/1 trait, a measured trait and two covariates."""
+    o = table(spark, sf_dir, "orders")
+    s = F.col("s")
+    return (o.groupBy(F.col("o_custkey").alias("s")).agg(F.avg("o_totalprice").alias("quant"), F.avg("o_orderkey").alias("c1"),
+                                                         F.count(F.lit(1)).cast("double").alias("c2"))
+            .select("s", F.concat(F.lit("C"), s.cast("string")).alias("sample_id"), F.when(s % 7 < 3, 1.0).otherwise(0.0).alias("case"),
+                    F.round(F.col("quant") / 1000.0, 6).alias("QT"), "c1", "c2"))
+
+
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sample dimension (s, sample_id) taken from the orders' customers."""
     s = (F.col("o_custkey") % N_SAMPLES)

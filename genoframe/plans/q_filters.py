@@ -217,3 +217,44 @@ def flt25(spark, d):
     long = long_phenotypes(make_psam(fx.pheno(spark, d)))
     return (long.groupBy("pheno").agg(F.countDistinct("value").cast("bigint").alias("n_values"))
             .where(F.col("n_values") >= 2))
+
+
+# ------------------------------------------------------------------ the whole cohort: every customer, every call
+GRID_FILTERS = [RVA_FILTER, "impact_HIGH", "cadd_20_or_sift4g_D"]
+GRID_UNITS = {"SYMBOL": "symbol", "GENE": "gene"}
+
+
+def annotated_cohort(spark, d):
+    """Variants with allele statistics over all customers and worst-transcript predictions."""
+    v = fx.variants(spark, d)
+    tags = osi.fill_tags(fx.cohort_calls(spark, d), fx.cohort_samples(spark, d), variants=v)
+    c = osi.worst_consequence(oc.split_csq(fx.csq(spark, d), CSQ_FIELDS, {"CADD_phred": "double"}))
+    w = F.col("worst")
+    return (v.join(tags.select("v", "ac", "an", "maf"), "v", "left")
+            .join(c.select("v", w["SIFT_pred"].alias("sift_pred"), w["Polyphen2_HVAR_pred"].alias("polyphen2_hvar_pred"),
+                           w["SIFT4G_pred"].alias("sift4g_pred"), w["SYMBOL"].alias("symbol")), "v", "left"))
+
+
+SQL_ANN_COHORT = (SQL_ANN.replace("SELECT count(*) AS n FROM samples", "SELECT count(DISTINCT o_custkey) AS n FROM orders")
+                  .replace("FROM rare_genotypes", "FROM cohort_calls"))
+COHORT_NEEDS = ["variants", "cohort_calls", "csq"]
+
+register("flt02b_maf_lt_cohort", SQL_ANN_COHORT + "\nSELECT v, round(maf, 9) AS maf FROM ann WHERE maf < 0.01", COHORT_NEEDS)(
+    lambda spark, d: ofl.maf_lt(annotated_cohort(spark, d), 0.01).select("v", F.round("maf", 9).alias("maf")))
+register("flt03b_maf_gt_cohort", SQL_ANN_COHORT + "\nSELECT v, round(maf, 9) AS maf FROM ann WHERE maf > 0.01", COHORT_NEEDS)(
+    lambda spark, d: ofl.maf_gt(annotated_cohort(spark, d), 0.01).select("v", F.round("maf", 9).alias("maf")))
+
+_TOKEN_SQL = {"impact_HIGH": "impact = 'HIGH'", "cadd_20": "cadd >= 20", "sift4g_D": "sift4g_pred = 'D'",
+              "polyphen2_D": "polyphen2_hvar_pred = 'D'"}
+
+
+@register("set11b_grid_sets", SQL_ANN_COHORT + """
+, f AS (""" + " UNION ALL ".join(f"SELECT '{x}' AS filter, v, symbol, gene FROM ann WHERE "
+                                  + " OR ".join(_TOKEN_SQL[t] for t in x.split("_or_")) for x in GRID_FILTERS) + """)
+SELECT filter, unit, "set", CAST(count(DISTINCT v) AS BIGINT) AS n FROM (
+  SELECT filter, 'SYMBOL' AS unit, symbol AS "set", v FROM f UNION ALL SELECT filter, 'GENE', gene, v FROM f)
+WHERE "set" IS NOT NULL GROUP BY 1, 2, 3""", COHORT_NEEDS)
+def set11b(spark, d):
+    """The sets of every filter and unit of the grid from one mask per variant."""
+    from genoframe.plans import grid
+    return grid.grid_sets(annotated_cohort(spark, d), GRID_FILTERS, GRID_UNITS).groupBy("filter", "unit", "set").agg(F.count(F.lit(1)).alias("n"))

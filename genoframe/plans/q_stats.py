@@ -409,6 +409,26 @@ def e3_rva(spark, d):
     return pr.top_hits_by(res.checkpoint(), ["pheno", "max_maf"], 20)
 
 
+@register("e3b_association_grid")
+def e3b(spark, d):
+    """The grid drives the run over the whole cohort: three filters, two units, both cuts, every call of every customer."""
+    from genoframe.plans import grid
+    from genoframe.plans.q_filters import GRID_FILTERS, GRID_UNITS, annotated_cohort
+    ensure_checkpoint_dir(spark)
+    s = fx.cohort_samples(spark, d)
+    covs = ["c1", "c2"]
+    cov = st.standardize(s.select("sample_id", *covs), covs).checkpoint()
+    traits = s.select("sample_id", F.col("case").alias("CASE"), "QT").unpivot(["sample_id"], ["CASE", "QT"], "pheno", "value")
+    mf = st.model_frame_long(traits, cov, covs)
+    settings = [F.explode(F.array(*[F.lit(x) for x in xs])).alias(n) for n, xs in
+                (("filter", GRID_FILTERS), ("max_maf", MAF_CUTS), ("unit", list(GRID_UNITS)))]
+    g = st.valid_phenotypes(mf)
+    for c in settings:
+        g = g.select("*", c)
+    calls = fx.cohort_calls(spark, d).join(s.select("s", "sample_id"), "s").select("v", "sample_id", "dosage")
+    return grid.run_grid(calls, annotated_cohort(spark, d), g.withColumn("test", F.lit("SKATO")), st.null_model(mf, covs), cov, covs, GRID_UNITS)
+
+
 @register("st01c_pca_randomized")
 def st01c(spark, d):
     """ST-1 with fewer extra columns and more steps."""

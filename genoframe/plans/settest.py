@@ -147,8 +147,8 @@ def set_test(genotypes: DataFrame, sets: DataFrame, null: DataFrame, covars: Dat
         *[F.sum(F.col("var_w") * F.col(a) * F.col(b)).alias(f"xx_{a}_{b}") for a in cov for b in cov])
     totals = {r["pheno"]: r.asDict() for r in tot.collect()}
 
-    # read twice below (frequencies, carrier rows)
-    g = genotypes.select(vkey, key, "dosage").join(sets.select(vkey, unit), vkey).checkpoint()
+    # read twice below (frequencies, carrier rows); a variant counts once here, however many sets it is in
+    g = genotypes.select(vkey, key, "dosage").join(sets.select(vkey), vkey, "left_semi").checkpoint()
     gx = g.join(broadcast_if_small(nx.select("pheno", key, "kind", "mu", "resid", "var_w", *cov)), key)
     # allele frequency among the phenotype's samples
     af = gx.groupBy("pheno", vkey).agg(F.sum("dosage").alias("_ac"),
@@ -156,7 +156,7 @@ def set_test(genotypes: DataFrame, sets: DataFrame, null: DataFrame, covars: Dat
     af = af.join(F.broadcast(tot.select("pheno", "n")), "pheno").select(
         "pheno", vkey, (F.col("_ac") / (2.0 * (F.col("n") - F.col("_nm")))).alias("af"))
     maf_col = F.least("af", 1 - F.col("af"))
-    rows = gx.join(af.where((maf_col > 0) & (maf_col <= cuts[-1])), ["pheno", vkey])
+    rows = gx.join(af.where((maf_col > 0) & (maf_col <= cuts[-1])), ["pheno", vkey]).join(sets.select(vkey, unit), vkey)
     set_n = sets.groupBy(unit).agg(F.count(F.lit(1)).alias("n_set"))
     rows = rows.join(set_n, unit)
     bc = genotypes.sparkSession.sparkContext.broadcast(totals)

@@ -39,6 +39,9 @@ CTES: dict[str, tuple[list[str], str]] = {
   FROM calls)"""),
     "rare_genotypes": (["calls"], """rare_genotypes AS (
   SELECT v, s, dosage FROM calls WHERE (v * 13 + s) % 41 = 0)"""),
+    "cohort_calls": ([], """cohort_calls AS (
+  SELECT l_partkey AS v, o_custkey AS s, max(CASE WHEN l_quantity > 25 THEN 2 ELSE 1 END) AS dosage
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)"""),
     "samples": ([], """samples AS (
   SELECT DISTINCT o_custkey % 100 AS s, printf('S%03d', o_custkey % 100) AS sample_id FROM orders)"""),
     "pheno": ([], """pheno AS (
