@@ -285,8 +285,12 @@ def imhof_sf(q: float, lam: np.ndarray, n: int = 4000) -> float:
     t = (np.arange(n) + 0.5) / n
     u = (t / (1 - t)) ** 3                      # cubic map: integrable ends at t=0 and t=1
     du = 3 * t ** 2 / (1 - t) ** 4 / n
-    theta = 0.5 * np.sum(np.arctan(np.outer(u, lam)), axis=1) - 0.5 * q * u
-    log_rho = 0.25 * np.sum(np.log1p(np.outer(u * u, lam * lam)), axis=1)
+    theta, log_rho = -0.5 * q * u, np.zeros(n)
+    step = max(1, (1 << 20) // len(lam))         # points at a time: a million products
+    for at in range(0, n, step):
+        x = np.outer(u[at: at + step], lam)
+        theta[at: at + step] += 0.5 * np.sum(np.arctan(x), axis=1)
+        log_rho[at: at + step] = 0.25 * np.sum(np.log1p(x * x), axis=1)
     integrand = np.sin(theta) * np.exp(-log_rho) / u
     return float(0.5 + np.sum(integrand * du) / math.pi)
 
