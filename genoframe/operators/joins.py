@@ -35,20 +35,39 @@ def _on(a: DataFrame, b: DataFrame, on, null_safe: bool) -> Column:
     return cond
 
 
+# Parts that the rows with a NULL key are spread over.
+NULL_PARTS = 64
+
+
 def left_join(a: DataFrame, b: DataFrame, on, null_safe: bool = False) -> DataFrame:
     """JN-1 / JN-2: left join; ``null_safe`` lets NULL keys match NULL keys.
 
-    Right-side key columns that share a name with the left side are dropped.
+    Right-side key columns that share a name with the left side are dropped. Rows whose only key is NULL
+    all pair up and are joined apart (``_null_pairs``).
     """
+    pairs = [(k, k) if isinstance(k, str) else k for k in ([on] if isinstance(on, (str, tuple)) else on)]
+    if null_safe and len(pairs) == 1:
+        (ka, kb), = pairs
+        known = left_join(a.where(F.col(ka).isNotNull()), b.where(F.col(kb).isNotNull()), on)
+        return known.unionAll(_null_pairs(a.where(F.col(ka).isNull()), b.where(F.col(kb).isNull()), ka, kb))
     cond = _on(a, b, on, null_safe)
-    keys = [k if isinstance(k, str) else k[1] for k in ([on] if isinstance(on, (str, tuple)) else on)]
     out = a.join(b, cond, "left")
-    for k in keys:
+    for _, k in pairs:
         if k in a.columns:
             out = out.drop(b[k])
     return out
 
 
+def _null_pairs(a: DataFrame, b: DataFrame, ka: str, kb: str) -> DataFrame:
+    """Every row of ``a`` with every row of ``b`` (NULLs without one): the left ones are spread over ``NULL_PARTS``
+    tasks, however few bytes they are, and the right ones sent to each."""
+    part = F.pmod(F.xxhash64(F.struct(*[a[c] for c in a.columns])), F.lit(NULL_PARTS)).cast("int")
+    x = a.withColumn("_part", part).repartition(NULL_PARTS, "_part")
+    y = b.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(NULL_PARTS - 1)))).repartition(NULL_PARTS, "_part").hint("merge")
+    out = x.join(y, x["_part"] == y["_part"], "left").drop(x["_part"]).drop(y["_part"])
+    return out.drop(y[kb]) if kb in a.columns else out
+
+
 def inner_join(a: DataFrame, b: DataFrame, on) -> DataFrame:
     """JN-3."""
     return a.join(b, on, "inner")

@@ -449,3 +449,22 @@ def test_single_variant_flow_runs_every_phenotype(spark, sf):
         raw = p["p"].to_numpy() * len(p) / np.arange(1, len(p) + 1)
         want = np.minimum(np.minimum.accumulate(raw[::-1])[::-1], 1.0)
         assert np.allclose(p["q_fdr"].to_numpy(), want)
+
+
+def test_null_safe_join_spreads_the_null_key(spark):
+    """Every left row with a NULL key meets every right one, in more than one task; repeats and other keys as in plain SQL."""
+    from genoframe.operators.joins import left_join
+    a = spark.range(300).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 5).alias("k")).unionByName(
+        spark.createDataFrame([(7, None), (7, None), (8, 99)], "id bigint, k bigint"))
+    b = spark.range(40).select(F.when(F.col("id") % 4 > 0, F.col("id") % 7).alias("k"), F.col("id").alias("r"))
+    a.createOrReplaceTempView("nsj_a")
+    b.createOrReplaceTempView("nsj_b")
+    want = sorted(map(tuple, spark.sql("SELECT a.id, a.k, b.r FROM nsj_a a LEFT JOIN nsj_b b ON a.k <=> b.k").collect()), key=str)
+    got = left_join(a, b, "k", null_safe=True)
+    assert got.columns == ["id", "k", "r"] and sorted(map(tuple, got.collect()), key=str) == want
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = left_join(a, b, "k", null_safe=True).where("k IS NULL").select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert tasks > 1
