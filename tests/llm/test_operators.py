@@ -125,6 +125,30 @@ def test_passages_past_the_smallest_holder(spark):
         assert got[d - 3].n_links == got[d - 2].n_links == got[d - 1].n_links == 0
 
 
+def test_passages_of_several_documents(spark):
+    """Different texts that share one passage are all linked, a tail past a verified passage is found, copies name the first of them."""
+    from genoframe.llm import compact_windows
+    rng = np.random.default_rng(11)
+
+    def fresh(n):
+        return [f"w{x}" for x in rng.integers(0, 10 ** 9, n)]
+    rows = []
+    for k in range(10):
+        passage, at = fresh(120), 10 * k
+        texts = [fresh(40) + passage[:90] + fresh(40), *(fresh(20) + passage + fresh(20 + i) for i in range(4))]
+        rows += [(at + i, " ".join(t)) for i, t in enumerate([*texts, texts[2]])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = by_id(compact_windows.near_duplicate_passages(df))
+    cut = by_id(compact_windows.remove_passages(df))
+    for k in range(0, 100, 10):
+        for i in range(5):
+            assert got[k + i].other_ids == list(range(k, k + i)) and got[k + i].n_links == i and got[k + i].class_id == k
+        for i in range(2, 5):
+            assert any(s.lo <= 20 and s.hi >= 140 for s in got[k + i].spans), k + i
+            assert len(words(cut[k + i].text)) <= 40 + i - 1
+        assert got[k + 5].other_ids == [k + 2] and got[k + 5].class_id == k and cut[k + 5].text == ""
+
+
 def test_near_copies_with_an_edit_near_an_edge():
     """verify() against every pair of stretches of 50 words, for each place of the edit."""
     import pyarrow as pa
