@@ -13,6 +13,8 @@ from collections.abc import Sequence
 import numpy as np
 
 EXACT_CARRIERS, SAMPLED_CARRIERS, RESAMPLES = 12, 60, 20_000
+#: Scores held at a time.
+BLOCK = 1 << 20
 
 
 def assignments(mu: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -33,6 +35,16 @@ def _tail(q: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.cumsum(mass[::-1])[::-1][which]
 
 
+def _statistics(off: np.ndarray, G: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of squared scores and squared sum of every state, a block of states at a time: scores are states by variants."""
+    skat, burden = np.empty(len(off)), np.empty(len(off))
+    step = max(1, BLOCK // max(1, G.shape[1]))
+    for at in range(0, len(off), step):
+        S = (off[at: at + step] @ G) * weight
+        skat[at: at + step], burden[at: at + step] = (S * S).sum(axis=1), S.sum(axis=1) ** 2
+    return skat, burden
+
+
 def resampled_p(G: np.ndarray, weight: np.ndarray, mu: np.ndarray, y: np.ndarray, method: str, rhos: Sequence[float],
                 seed: int = 0) -> float | None:
     """p-value of a set from its carriers: coded genotypes ``G`` (carriers x variants), variant weights, fitted and observed case
@@ -48,8 +60,7 @@ def resampled_p(G: np.ndarray, weight: np.ndarray, mu: np.ndarray, y: np.ndarray
     # the observed state comes last; among drawn states it counts as one of them
     states = np.vstack([states, y])
     prob = np.append(prob, 0.0 if exact else prob[0])
-    S = ((states - mu) @ G) * weight
-    skat, burden = (S * S).sum(axis=1), S.sum(axis=1) ** 2
+    skat, burden = _statistics(states - mu, G, weight)
     if method == "SKAT":
         return min(1.0, float(_tail(skat, prob)[-1]))
     if method == "burden":
