@@ -91,14 +91,48 @@ def overlap_pairs(a: DataFrame, b: DataFrame, a_range: Sequence[str] = ("chrom",
     return out
 
 
-def first_values(pairs: DataFrame, key: str, value: Column, k: int, distinct: bool, out: str) -> DataFrame:
-    """Per key the first ``k`` values in order, comma-joined: a ranked pick, so no task holds more than k a key."""
+#: Width of the steps between the block sizes of ranges that cover a point, and of starts inside a range (bits).
+COVER_BITS, START_BITS = 3, 1
+
+
+def _ceil_log(length: int, bits: int) -> int:
+    """The coarsest level whose blocks a range of that length may hold whole."""
+    return max(0, (max(length, 1).bit_length() - 1) // bits)
+
+
+def _cut(d: DataFrame, lo: str, hi: str, bits: int, top: int) -> DataFrame:
+    """A row per block of the one cover of [lo, hi] by the largest aligned blocks: a few blocks a level, none twice."""
+    def seq(a, b):
+        return f"IF({a} < {b}, sequence({a}, {b} - 1), CAST(array() AS ARRAY<BIGINT>))"
+    up = f"_w + {bits}"
+    return (d.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(top)))).withColumn("_w", F.col("_level") * bits)
+            .withColumns({"_l": F.expr(f"shiftright({lo} + shiftleft(1L, _w) - 1, _w)"), "_r": F.expr(f"shiftright({hi} + 1, _w)"),
+                          # what the blocks of the next level hold already
+                          "_pl": F.expr(f"shiftleft(shiftright({lo} + shiftleft(1L, {up}) - 1, {up}), {bits})"),
+                          "_pr": F.expr(f"shiftleft(shiftright({hi} + 1, {up}), {bits})")})
+            .where("_l < _r")
+            .withColumn("_block", F.explode(F.expr(f"IF(_level < {top} AND _pl < _pr, concat({seq('_l', '_pl')}, {seq('_pr', '_r')}), {seq('_l', '_r')})")))
+            .drop("_w", "_l", "_r", "_pl", "_pr"))
+
+
+def _each_level(d: DataFrame, pos: str, bits: int, top: int) -> DataFrame:
+    """The block of a position on every level."""
+    return (d.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(top))))
+            .withColumn("_block", F.expr(f"shiftright({pos}, _level * {bits})")))
+
+
+def _longest(d: DataFrame) -> int:
+    return d.agg(F.max(F.col("_e") - F.col("_s") + 1)).first()[0] or 0
+
+
+def _first_per_node(nodes: DataFrame, node: Sequence[str], value: str, k: int, distinct: bool, out: str) -> DataFrame:
+    """Per node the first ``k`` values in order: a ranked pick, so no task holds more than k a node."""
     from pyspark.sql import Window
-    rows = pairs.select(key, value.cast("string").alias("_x")).where("_x IS NOT NULL")
+    rows = nodes.select(*node, F.col(value).cast("string").alias("_x")).where("_x IS NOT NULL")
     if distinct:
         rows = rows.distinct()
-    top = rows.withColumn("_i", F.row_number().over(Window.partitionBy(key).orderBy("_x"))).where(F.col("_i") <= k)
-    return top.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list("_x")), ",").alias(out))
+    top = rows.withColumn("_i", F.row_number().over(Window.partitionBy(*node).orderBy("_x"))).where(F.col("_i") <= k)
+    return top.groupBy(*node).agg(F.collect_list("_x").alias(out))
 
 
 def annotate_ranges(variants: DataFrame, intervals: DataFrame, spec, key: str = "v",
@@ -110,31 +144,62 @@ def annotate_ranges(variants: DataFrame, intervals: DataFrame, spec, key: str =
     of the interval that sorts first) and the bounded lists ``uniq:k`` and ``concat:k`` (the first k values in
     order; with ``count`` beside them nothing is hidden). ``key`` identifies a variant row. Variants
     without an overlap stay, with NULLs (count: 0). Post-ops follow in order.
+
+    No pair is made. An interval overlaps a variant if it covers the variant's start or begins after it, up to
+    the variant's end. Intervals are summed up once per block of the cover that they are cut into, and once per
+    block that holds their start; a variant reads the blocks around its start of the first kind and those
+    its range is cut into of the second. Each overlapping interval is in just one of the blocks read, so the work grows
+    with variants and intervals times the number of block sizes, however many overlap.
     """
     from genoframe.operators.annotate import apply_post
     ops = list(spec.ops or ["first"] * len(spec.fields))
-    simple = {"max": F.max, "min": F.min, "sum": F.sum, "mean": F.avg, "count": F.count}
-    slim = variants.select(key, *[c for c in dict.fromkeys(a_range) if c != key])
-    pairs = overlap_pairs(slim, intervals.select(*dict.fromkeys([*b_range, *spec.fields])), a_range, b_range)
-    pairs = pairs.select(F.col("a").getField(key).alias(key), "b")
-    field = F.col("b").getField
-    # the order of intervals for "first": contig, start, end, then every field, so that ties have one result
-    order = F.struct(*[field(c).alias(f"o{i}") for i, c in enumerate(dict.fromkeys([*b_range, *spec.fields]))])
-    aggs, lists = [], []
-    for f, name, op in zip(spec.fields, spec.names, ops):
+    fields = list(dict.fromkeys([*b_range, *spec.fields]))
+    v = variants.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(a_range)])
+    v = _prepared(v, "_0", "_1", "_2").where("_key IS NOT NULL").select("_key", "_c", "_s", "_e")
+    iv = intervals.select(*[F.col(c).alias(f"f{i}") for i, c in enumerate(fields)])
+    of = {c: F.col(f"f{i}") for i, c in enumerate(fields)}
+    iv = _prepared(iv, *[f"f{fields.index(c)}" for c in b_range]).drop("_own")
+    # partial values of a block, how blocks are put together, and the result
+    part, merge, final, lists = {}, {}, {}, {}
+    for i, (f, name, op) in enumerate(zip(spec.fields, spec.names, ops)):
         kind, _, k = op.partition(":")
+        p = f"p{i}"
         if kind in ("uniq", "concat"):
             if not k.isdigit() or int(k) < 1:
                 raise ValueError(f"{op}: give the number of values, as in '{kind}:5'")
-            lists.append((field(f), int(k), kind == "uniq", name))
+            lists[p] = (f"f{fields.index(f)}", int(k), kind == "uniq")
+            merge[p] = F.flatten(F.collect_list(p))
+            some = F.array_distinct(p) if kind == "uniq" else F.col(p)
+            final[name] = F.when(F.size(p) > 0, F.array_join(F.slice(F.array_sort(some), 1, int(k)), ","))
         elif kind in ("first", "self"):
-            aggs.append(F.min_by(field(f), order).alias(name))
+            # the order of intervals: contig, start, end, then every field, so that ties have one result
+            part["first"], merge["first"] = F.min(F.struct(*[of[c].alias(f"f{j}") for j, c in enumerate(fields)])), F.min("first")
+            final[name] = F.col("first").getField(f"f{fields.index(f)}")
+        elif kind == "mean":
+            kept = iv.agg(F.avg(of[f]).alias("x"), F.sum(of[f]).alias("y")).schema
+            summed = of[f] if kept["y"].dataType.typeName() == "decimal" else of[f].cast("double")
+            part[p], part[f"n{p}"] = F.sum(summed), F.count(of[f])
+            merge[p], merge[f"n{p}"] = F.sum(p), F.sum(f"n{p}")
+            final[name] = F.when(F.col(f"n{p}") > 0, F.col(p) / F.col(f"n{p}")).cast(kept["x"].dataType)
         else:
-            aggs.append(simple[kind](field(f)).alias(name))
-    out = variants
-    if aggs:
-        out = out.join(pairs.groupBy(key).agg(*aggs), key, "left")
-    for value, k, distinct, name in lists:
-        out = out.join(first_values(pairs, key, value, k, distinct, name), key, "left")
+            how = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.count}[kind]
+            part[p], merge[p] = how(of[f]), (F.sum if kind in ("sum", "count") else how)(p)
+            final[name] = F.col(p).cast(iv.agg(how(of[f]).alias("x")).schema["x"].dataType)
+    top = _ceil_log(_longest(iv), COVER_BITS)
+    nodes = _cut(iv, "_s", "_e", COVER_BITS, top).withColumn("_side", F.lit(0))
+    asked = _each_level(v, "_s", COVER_BITS, top).withColumn("_side", F.lit(0))
+    longest = _longest(v)
+    if longest > 1:
+        top = _ceil_log(longest - 1, START_BITS)
+        nodes = nodes.unionByName(_each_level(iv, "_s", START_BITS, top).withColumn("_side", F.lit(1)))
+        inside = v.where("_e > _s").withColumn("_from", F.col("_s") + 1)
+        asked = asked.unionByName(_cut(inside, "_from", "_e", START_BITS, top).withColumn("_side", F.lit(1)).drop("_from"))
+    node = ["_c", "_side", "_level", "_block"]
+    state = nodes.groupBy(*node).agg(*[c.alias(n) for n, c in (part or {"none": F.count(F.lit(1))}).items()])
+    for p, (f, k, distinct) in lists.items():
+        state = state.join(_first_per_node(nodes, node, f, k, distinct, p), node, "left")
+    got = (asked.select("_key", *node).join(broadcast_if_small(state), node).groupBy("_key")
+           .agg(*[c.alias(n) for n, c in merge.items()]).select(F.col("_key").alias(key), *[c.alias(n) for n, c in final.items()]))
+    out = variants.join(got, key, "left")
     counts = [n for n, op in zip(spec.names, ops) if op == "count"]
     return apply_post(out.fillna(0, counts) if counts else out, spec.post)

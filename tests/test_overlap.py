@@ -75,3 +75,27 @@ def test_spec_with_bounded_lists(spark):
             assert r.low == min(h[2] for h in hits) and r.one == min(hits, key=lambda h: (h[1], h[2], h[3], h[0]))[0]
     with pytest.raises(ValueError):
         oo.annotate_ranges(da, db, AnnotationSpec(["name"], ["x"], ["uniq"]), key="id")
+
+
+def test_annotation_makes_no_pairs(spark, monkeypatch):
+    """Thousands of intervals over every variant: blocks are read, not pairs."""
+    def no_pairs(*_):
+        raise AssertionError("pairs are made")
+    monkeypatch.setattr(oo, "overlap_pairs", no_pairs)
+    iv = spark.range(0, 3000).selectExpr("id", "'1' AS chrom", "1 + id % 7 AS start", "900000 + id AS end", "concat('n', id % 11) AS name")
+    v = spark.range(0, 2000).selectExpr("id", "'1' AS chrom", "id + 100 AS start", "id + 100 + id % 50 AS end")
+    spec = AnnotationSpec(["id", "name", "id", "id", "start"], ["n", "names", "total", "avg", "low"], ["count", "uniq:2", "sum", "mean", "first"])
+    out = oo.annotate_ranges(v, iv, spec, key="id")
+    assert {tuple(r) for r in out.select("n", "names", "total", "avg", "low").collect()} == {(3000, "n0,n1", 3000 * 2999 // 2, 1499.5, 1)}
+
+
+def test_repeated_and_null_keys(spark):
+    """Rows that share a key are annotated together, each with the overlaps of all; a NULL key with nothing."""
+    v = spark.createDataFrame([(1, "1", 10, 30), (1, "1", 20, 20), (None, "1", 10, 30), (2, "1", 40, 39), (3, "2", 5, 5), (4, "1", 26, 1 << 40)],
+                              "id long, chrom string, start long, end long")
+    iv = spark.createDataFrame([("1", 5, 25, "a", None), ("1", 20, 20, "a", 1.5), ("1", 31, 40, "c", 2.0), ("1", 1, 1 << 38, None, 4.0)],
+                               "chrom string, start long, end long, name string, x double")
+    spec = AnnotationSpec(["start", "name", "name", "x", "x"], ["n", "u", "c", "m", "hi"], ["count", "uniq:3", "concat:3", "mean", "max"])
+    got = sorted(((r.id or 0), r.n, r.u, r.c, r.m, r.hi) for r in oo.annotate_ranges(v, iv, spec, key="id").collect())
+    one = (1, 6, "a", "a,a,a", 2.75, 4.0)
+    assert got == [(0, 0, None, None, None, None), one, one, (2, 0, None, None, None, None), (3, 0, None, None, None, None), (4, 2, "c", "c", 3.0, 4.0)]
