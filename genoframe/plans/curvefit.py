@@ -12,15 +12,17 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from genoframe.operators.filters import between, min_group
+from genoframe.operators.filters import between
 
 TOP = 48.0
 # Admissible start box of the multistart fit.
 D50_RANGE = (3.0, 120.0)
 DX_RANGE = (1.0, 10.0)
+# Patients by visits fitted together (each cell is met by every start of the grid).
+CELLS = 1 << 17
 
 
 def _model(t, d50, dx):
@@ -158,27 +160,43 @@ def _pad(pdf: pd.DataFrame, pid: str):
     return np.asarray(uniq), t, y, mask, first
 
 
+def _fit_rows(pdf: pd.DataFrame, pid: str):
+    """Fits of whole patients, one frame per ``CELLS``: those of like length together, so a long one pads no others."""
+    codes, uniq = pd.factorize(pdf[pid], sort=False)
+    counts = np.bincount(codes)
+    part = np.zeros(len(uniq), dtype=int)
+    if len(uniq) * counts.max() > CELLS:
+        n, k = 0, 0
+        for i in np.argsort(counts, kind="stable"):
+            n, k = (n + 1, k) if (n + 1) * counts[i] <= CELLS or not n else (1, k + 1)
+            part[i] = k
+    for k in range(part.max() + 1):
+        ids, tt, yy, mm, st = _pad(pdf[part[codes] == k], pid)
+        yield fit_batch(ids, tt, yy, mm, st[:, [0, 1]]).rename(columns={"pid": pid})
+
+
 def fit_d50(points: DataFrame, pid: str = "pid", t: str = "t", y: str = "total",
             min_points: int = 3) -> DataFrame:
     """Per-patient (pid, D50, Dx) from (pid, t months, total) rows with 1 <= total <= 48.
 
     Patients are co-located by a hash shuffle on pid and fitted many at a time
     per Arrow batch (a patient split across two batches is carried over)."""
-    pts = min_group(between(points.dropna(subset=[pid, t, y]), y, 1, TOP), [pid], min_points)
+    # count and sums are set beside the patient's rows where these lie sorted, so nothing is joined back
+    pts = between(points.dropna(subset=[pid, t, y]), y, 1, TOP)
+    own = Window.partitionBy(pid)
     # weighted least squares of z = ln((48 - y) / y) on t, weights (y (48 - y))^2 (delta
     # method: var z ~ 1 / (y (48 - y))^2), so plateau points whose logit is imprecise count little
     ok = (F.col(y) > 0) & (F.col(y) < TOP)
     z = F.when(ok, F.log((TOP - F.col(y)) / F.col(y)))
     w = F.when(ok, F.pow(F.col(y) * (TOP - F.col(y)) / TOP, 2)).otherwise(F.lit(0.0))
     tt = F.col(t).cast("double")
-    s = pts.groupBy(pid).agg(F.sum(w).alias("sw"), F.sum(w * tt).alias("st"), F.sum(w * z).alias("sz"),
-                             F.sum(w * tt * tt).alias("stt"), F.sum(w * tt * z).alias("stz"))
+    s = pts.select(pid, tt.alias("_t"), F.col(y).cast("double").alias("_y"), F.count(F.lit(1)).over(own).alias("n"),
+                   *[F.sum(c).over(own).alias(n) for n, c in (("sw", w), ("st", w * tt), ("sz", w * z), ("stt", w * tt * tt), ("stz", w * tt * z))])
     den = F.col("sw") * F.col("stt") - F.col("st") * F.col("st")
     slope = (F.col("sw") * F.col("stz") - F.col("st") * F.col("sz")) / F.when(den != 0, den)
     icpt = (F.col("sz") - slope * F.col("st")) / F.when(F.col("sw") > 0, F.col("sw"))
-    start = s.select(pid, (1 / F.when(slope != 0, slope)).alias("_dx0"), (-icpt / F.when(slope != 0, slope)).alias("_d500"))
-    rows = pts.select(pid, F.col(t).cast("double").alias("_t"), F.col(y).cast("double").alias("_y")) \
-        .join(start, pid)
+    rows = s.where(F.col("n") >= min_points).select(
+        pid, "_t", "_y", (1 / F.when(slope != 0, slope)).alias("_dx0"), (-icpt / F.when(slope != 0, slope)).alias("_d500"))
 
     def fit(it):
         carry = None
@@ -192,12 +210,12 @@ def fit_d50(points: DataFrame, pid: str = "pid", t: str = "t", y: str = "total",
             tail = pdf[pid].to_numpy() == last
             carry, done = pdf[tail], pdf[~tail]
             if len(done):
-                ids, tt, yy, mm, st = _pad(done, pid)
-                yield fit_batch(ids, tt, yy, mm, st[:, [0, 1]]).rename(columns={"pid": pid})
+                yield from _fit_rows(done, pid)
         if carry is not None and len(carry):
-            ids, tt, yy, mm, st = _pad(carry, pid)
-            yield fit_batch(ids, tt, yy, mm, st[:, [0, 1]]).rename(columns={"pid": pid})
+            yield from _fit_rows(carry, pid)
 
-    return (rows.repartition(pid).sortWithinPartitions(pid)
+    # a given number of parts, since few bytes are much work; by another hash, or the parts of the sums would be kept
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.repartition(parts, F.xxhash64(pid)).sortWithinPartitions(pid)
             .mapInPandas(fit, f"{pid} bigint, D50 double, Dx double")
             .where(F.col("D50").isNotNull() & ~F.isnan("D50")))
