@@ -14,9 +14,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genoframe.functions.annotation import allele_freq
+from genoframe.operators.joins import broadcast_if_small
 
 ALLELE_KEY = ["chrom", "pos", "ref", "alt"]
 
+#: Parts that variants are spread over, at least, where each gets a list that grows with the source.
+LIST_PARTS = 64
+
+
+def _parts(df: DataFrame) -> int:
+    return max(LIST_PARTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
 # op name -> aggregate over the source rows matching one key
 _OPS: dict[str, Callable[[Column], Column]] = {
     "self": lambda c: F.first(c, ignorenulls=True),
@@ -93,15 +101,18 @@ def annotate_overlap(variants: DataFrame, intervals: DataFrame, ops: dict[str, t
 
     Intervals are exploded into fixed-width bins; a variant falls in exactly one
     bin, so the equi-join on (chrom, bin) plus the residual overlap test yields
-    each (variant, interval) pair once, without a cartesian product.
+    each (variant, interval) pair once, without a cartesian product. Variants are
+    spread by ``key`` before they meet the intervals, whatever few bytes or files they
+    are, so that their pairs are made and added up in place and in many tasks.
     ``ops`` maps output name -> (interval column, op).
     """
+    variants = variants.repartition(_parts(variants), key)
     iv = intervals.withColumn("_bin", F.explode(F.sequence(
         F.floor(F.col(start) / bin_width).cast("bigint"),
         F.floor(F.col(end) / bin_width).cast("bigint"))))
     vb = variants.select(key, "chrom", "pos", F.floor(F.col("pos") / bin_width).cast("bigint").alias("_bin"))
     cols = sorted({c for c, _ in ops.values()})
-    pairs = (vb.join(iv.select("chrom", "_bin", start, end, *[c for c in cols if c not in (start, end)]),
+    pairs = (vb.join(broadcast_if_small(iv.select("chrom", "_bin", start, end, *[c for c in cols if c not in (start, end)])),
                      ["chrom", "_bin"])
              .where((F.col("pos") >= F.col(start)) & (F.col("pos") <= F.col(end))))
     agg = pairs.groupBy(key).agg(*[_OPS[op](F.col(c)).alias(name) for name, (c, op) in ops.items()])
