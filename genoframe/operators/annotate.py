@@ -20,6 +20,8 @@ ALLELE_KEY = ["chrom", "pos", "ref", "alt"]
 
 #: Parts that variants are spread over, at least, where each gets a list that grows with the source.
 LIST_PARTS = 64
+#: Ops whose values are such lists.
+LIST_OPS = {"uniq", "concat"}
 
 
 def _parts(df: DataFrame) -> int:
@@ -89,8 +91,16 @@ def _project(source: DataFrame, spec: AnnotationSpec, key: Sequence[str],
 
 def annotate_exact(variants: DataFrame, source: DataFrame, spec: AnnotationSpec,
                    key: Sequence[str] = ALLELE_KEY) -> DataFrame:
-    """JN-10: left join on the exact allele, renamed fields, then post-ops."""
+    """JN-10: left join on the exact allele, renamed fields, then post-ops.
+
+    A list over a key's source rows is the same on all variants of the key: these are brought together first (a key of many
+    variants over several parts), so that a written file holds few different lists, each once in its dictionary.
+    """
     ann = _project(source, spec, key, variants.select(*key).distinct())
+    if LIST_OPS & set(spec.ops or ()):
+        rest = [c for c in variants.columns if c not in key]
+        variants = variants.repartitionByRange(_parts(variants), *key, *rest)
+        ann = broadcast_if_small(ann)
     return apply_post(variants.join(ann, list(key), "left"), spec.post)
 
 
