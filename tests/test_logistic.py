@@ -182,3 +182,50 @@ def test_no_binary_phenotype(cohort):
     _, _, _, _, mf, g = cohort
     assert logistic.fit_blocks(g, mf.where("pheno = 'Q'"), COV).count() == 0
     assert logistic.score_test(g, mf.where("pheno = 'Q'"), COV).count() == 0
+
+
+def test_rank_and_inverse_of_a_batch():
+    """The batch inverse keeps the verdicts of the eigenvalues, also next to singular, zero, non-finite and no matrices."""
+    rng = np.random.default_rng(4)
+    A = rng.standard_normal((700, 9, 5))
+    A = np.einsum("bni,bnj->bij", A, A) * np.outer(*[10.0 ** np.arange(5)] * 2)
+    A[3], A[5, 0, 0] = 0.0, np.nan
+    A[4, 4], A[4, :, 4] = A[4, 3], A[4, 3]                     # a column twice
+    A[6] = np.eye(5) + (1 - 1e-7) * (1 - np.eye(5))            # nearly so
+    ok, inverse = nm.full_rank_inverse(A)
+    assert (ok == nm.full_rank(A)).all() and not ok[[3, 4, 5]].any() and ok[6]
+    s = 1 / np.sqrt(np.einsum("bii->bi", A[ok]))
+    np.testing.assert_allclose(inverse[ok] / s[:, :, None] / s[:, None, :], np.linalg.inv(A[ok] * s[:, :, None] * s[:, None, :]), rtol=1e-6, atol=1e-6)
+    assert nm.full_rank_inverse(A[:0])[1].shape == (0, 5, 5)
+
+
+def test_a_pass_reads_open_fits_only():
+    """A pass sums the open fits alone, and a held block is not prepared again."""
+    rng = np.random.default_rng(8)
+    X, Y, g = rng.standard_normal((60, 2)), (rng.random((60, 3)) < 0.5).astype(float), rng.integers(0, 3, (9, 60)).astype(float)
+    fits, held = logistic._Fits(np.arange(9), 3, 4), {}
+    fits.phase[1], fits.phase[2, 4:] = logistic._DONE, logistic._FAILED
+    first = logistic._partial(fits, X, Y, g, held)
+    assert first["score"].shape == (13, 4) and set(held) == {0, 2}
+    columns = dict(held)
+    again = logistic._partial(fits, X, Y, g, held)
+    assert all(held[j] is columns[j] for j in held) and all((again[x] == first[x]).all() for x in first)
+
+
+def test_score_test_of_a_small_cohort_takes_no_rounds(cohort, monkeypatch):
+    """One block of samples: no rounds over the table of carriers, and what the rounds of a larger cohort give; calls may repeat, v may be null."""
+    X, G, y, ids, mf, g = cohort
+    g = g.where("v < 12").unionByName(g.where("v = 5")).unionByName(g.where("v = 6").withColumn("v", F.lit(None).cast("bigint")))
+    mf = mf.where("pheno in ('A', 'B')")
+
+    def rows():
+        return {(r["pheno"], r["v"]): r for r in logistic.score_test(g, mf, COV, spa_z=1.0).collect()}
+    with monkeypatch.context() as m:
+        m.setattr(logistic, "saddlepoint", None)
+        here = rows()
+    monkeypatch.setattr(logistic, "SAMPLE_BLOCK", 4)
+    far = rows()
+    assert here.keys() == far.keys() and ("A", None) in here and any(r["p_spa"] != r["p_score"] for r in here.values())
+    for at, r in here.items():
+        for c in ("n", "score", "variance", "z_score", "p_score", "p_spa"):
+            assert r[c] == pytest.approx(far[at][c], rel=1e-7, abs=1e-9), (at, c)
