@@ -104,3 +104,23 @@ def test_imhof_in_parts_equals_the_whole():
     rho = 0.25 * np.sum(np.log1p(np.outer(u * u, lam * lam)), axis=1)
     want = 0.5 + np.sum(np.sin(theta) * np.exp(-rho) / u * 3 * t ** 2 / (1 - t) ** 4 / n) / np.pi
     assert nm.imhof_sf(q, lam) == pytest.approx(want, abs=1e-12)
+
+
+@pytest.mark.parametrize("rho", [None, 0.01, 0.999])
+def test_interlaced_roots_take_few_rounds(monkeypatch, rho):
+    """Against the dense matrix, with close, equal and untouched eigenvalues; looked at a few times each, not sixty."""
+    rng = np.random.default_rng(3)
+    d = np.sort(np.concatenate([rng.gamma(0.4, size=200), np.full(3, 0.5), 0.5 + 1e-9 * np.arange(5), np.zeros(4)]))
+    z = np.sqrt(d) * rng.normal(size=len(d))
+    z[::17] = 0.0
+    seen, plain = [0], np.isfinite
+    monkeypatch.setattr(np, "isfinite", lambda x, *a, **b: (seen.__setitem__(0, seen[0] + np.size(x)), plain(x, *a, **b))[1])
+    got = sk.interlaced(d, z, rho)
+    monkeypatch.undo()
+    if rho is None:
+        P = np.eye(len(d)) - np.outer(z, z) / (z @ z)
+        want = np.linalg.eigvalsh(P @ np.diag(d) @ P)[1:]
+    else:
+        want = np.linalg.eigvalsh(np.diag(d) + rho * np.outer(z, z))
+    assert np.sort(got) == pytest.approx(np.sort(want), abs=1e-12 * d.max() * len(d))
+    assert seen[0] < 15 * len(d) ** 2
